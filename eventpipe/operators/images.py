@@ -16,9 +16,6 @@ BAD_BASE64 = "bad_base64"
 FETCH_FAILED = "fetch_failed"
 FETCH_STATUS = "fetch_status_"
 
-# What a fetch adds to a row with an ``image_url``.
-RESPONSE = "status INT, response_type STRING, response_content BINARY"
-
 
 def with_kind(images: DataFrame) -> DataFrame:
     """Where the bytes come from: base64 text goes before a URL; blank text is none."""
@@ -39,7 +36,7 @@ def resolve_images(images: DataFrame, fetch: Callable[[DataFrame], DataFrame]) -
     """One row per image event that has bytes, with object or reason.
 
     ``fetch`` takes the events whose bytes lie behind ``image_url`` and adds
-    the columns of ``RESPONSE``; status NULL means there was no response.
+    the columns of ``schemas.RESPONSE``; status NULL means there was no response.
     Base64 events are decoded where they are and take no part in the fetch.
     """
     kinds = with_kind(images)

@@ -35,8 +35,8 @@ def parse_events(records: DataFrame) -> DataFrame:
     """
     # Catalyst moves a filter below a projection and repeats the projected
     # expression in it. It does not move one below a generator, so the one-row
-    # generators here make sure that JSON, id and time are read once per record.
-    # Projections in between hold what the next step uses more than once.
+    # generator makes sure that JSON, the dear part, is read once per record.
+    # Projections after it hold what the next step uses more than once.
     document = F.when(is_object_text(F.col("value")), F.try_parse_json("value"))
     documents = records.select("*", F.explode(F.array(document)).alias("document"))
     document = F.col("document")
@@ -54,9 +54,7 @@ def parse_events(records: DataFrame) -> DataFrame:
     event_time = F.when(F.col("eventTime_field").isNull(), F.col("timestamp")).otherwise(
         parse_instant(F.col("time_text"))
     )
-    checked = texts.select(
-        "*", F.inline(F.array(F.struct(id.alias("id"), event_time.alias("event_time"))))
-    )
+    checked = texts.withColumn("id", id).withColumn("event_time", event_time)
 
     image_type = text_at(document, "imageContentType")
     kept = [c for c in records.columns if c not in ("key", "topic", "partition", "offset", "timestamp")]

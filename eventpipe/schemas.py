@@ -4,28 +4,57 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# A record as it lies in a topic. File dumps of a topic have the same columns.
-TOPIC = T.StructType.fromDDL(
-    "key STRING, value STRING, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
+TEXT, INT, BIGINT, TIME, DATE = (
+    T.StringType(),
+    T.IntegerType(),
+    T.LongType(),
+    T.TimestampType(),
+    T.DateType(),
 )
 
-PROCESSED_EVENTS = T.StructType.fromDDL(
-    "id STRING, event_type STRING, event_time TIMESTAMP, source STRING, payload VARIANT, "
-    "image_object_key STRING, inserted_at TIMESTAMP, src_partition INT, src_offset BIGINT"
+
+def _schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+# A record as it lies in a topic. File dumps of a topic have the same columns.
+TOPIC = _schema(key=TEXT, value=TEXT, topic=TEXT, partition=INT, offset=BIGINT, timestamp=TIME)
+
+PROCESSED_EVENTS = _schema(
+    id=TEXT,
+    event_type=TEXT,
+    event_time=TIME,
+    source=TEXT,
+    payload=T.VariantType(),
+    image_object_key=TEXT,
+    inserted_at=TIME,
+    src_partition=INT,
+    src_offset=BIGINT,
 )
 
-EVENT_TYPE_COUNTS_5M = T.StructType.fromDDL(
-    "window_start TIMESTAMP, window_end TIMESTAMP, event_type STRING, event_count BIGINT, "
-    "updated_at TIMESTAMP"
+EVENT_TYPE_COUNTS_5M = _schema(
+    window_start=TIME, window_end=TIME, event_type=TEXT, event_count=BIGINT, updated_at=TIME
 )
 
+# What a fetch adds to an event with an ``image_url``.
+RESPONSE = _schema(status=INT, response_type=TEXT, response_content=T.BinaryType())
+
 # Every resolved image of a batch, failed ones too (``reason`` set, no content).
-IMAGE_OBJECTS = T.StructType.fromDDL(
-    "object_key STRING, content_type STRING, content BINARY, size BIGINT, date DATE, id STRING, "
-    "event_type STRING, event_time TIMESTAMP, source STRING, inserted_at TIMESTAMP, "
-    "reason STRING, value STRING, src_partition INT, src_offset BIGINT"
+IMAGE_OBJECTS = _schema(
+    object_key=TEXT,
+    content_type=TEXT,
+    content=T.BinaryType(),
+    size=BIGINT,
+    date=DATE,
+    id=TEXT,
+    event_type=TEXT,
+    event_time=TIME,
+    source=TEXT,
+    inserted_at=TIME,
+    reason=TEXT,
+    value=TEXT,
+    src_partition=INT,
+    src_offset=BIGINT,
 )
 
-QUARANTINE = T.StructType.fromDDL(
-    "value STRING, reason STRING, src_partition INT, src_offset BIGINT, seen_at TIMESTAMP"
-)
+QUARANTINE = _schema(value=TEXT, reason=TEXT, src_partition=INT, src_offset=BIGINT, seen_at=TIME)

@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from eventpipe.operators.images import RESPONSE
+from eventpipe.schemas import RESPONSE
 
 # (status, content type, bytes); status None where there was no response.
 Response = tuple[int | None, str | None, bytes | None]
@@ -45,7 +45,7 @@ def fetch_with(get: Callable[[str], Response], tasks: int | None = None) -> Call
 
     def fetch(events: DataFrame) -> DataFrame:
         spread = events.repartition(tasks) if tasks else events.repartition()
-        schema = T.StructType(events.schema.fields + T.StructType.fromDDL(RESPONSE).fields)
+        schema = T.StructType(events.schema.fields + RESPONSE.fields)
 
         def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
