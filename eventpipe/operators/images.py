@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from eventpipe.functions.images import decode_base64, effective_content_type, object_key
+from eventpipe.functions.images import (
+    decode_base64,
+    effective_content_type,
+    is_strict_base64,
+    object_key,
+)
 from eventpipe.functions.json_fields import not_blank
 from eventpipe.schemas import IMAGE_OBJECTS
 
@@ -39,26 +44,30 @@ def resolve_images(images: DataFrame, fetch: Callable[[DataFrame], DataFrame]) -
     the columns of ``schemas.RESPONSE``; status NULL means there was no response.
     Base64 events are decoded where they are and take no part in the fetch.
     """
-    kinds = with_kind(images)
-    inline = (
-        kinds.where(F.col("kind") == BASE64)
-        .withColumn("content", decode_base64(F.col("image_base64")))
+    return resolve_inline(images).unionByName(resolve_linked(images, fetch))
+
+
+def resolve_inline(images: DataFrame) -> DataFrame:
+    inline = with_kind(images).where(F.col("kind") == BASE64)
+    strict = is_strict_base64(F.col("image_base64"))
+    return _objects(
+        inline.withColumn("content", decode_base64(F.col("image_base64")))
         .withColumn("response_type", F.lit(None).cast("string"))
-        .withColumn("reason", F.when(F.col("content").isNull(), BAD_BASE64))
+        .withColumn("reason", F.when(~strict, BAD_BASE64))
     )
-    linked = kinds.where(F.col("kind") == URL).drop("image_base64", "payload", "kind")
+
+
+def resolve_linked(images: DataFrame, fetch: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    linked = with_kind(images).where(F.col("kind") == URL).drop("image_base64", "payload", "kind")
     ok = F.col("status").between(200, 299)
-    fetched = (
+    failure = F.when(F.col("status").isNull(), F.lit(FETCH_FAILED)).when(
+        ~ok, F.concat(F.lit(FETCH_STATUS), F.col("status").cast("string"))
+    )
+    return _objects(
         fetch(linked)
         .withColumn("content", F.when(ok, F.col("response_content")))
-        .withColumn(
-            "reason",
-            F.when(F.col("status").isNull(), F.lit(FETCH_FAILED)).when(
-                ~ok, F.concat(F.lit(FETCH_STATUS), F.col("status").cast("string"))
-            ),
-        )
+        .withColumn("reason", failure)
     )
-    return _objects(inline).unionByName(_objects(fetched))
 
 
 def _objects(resolved: DataFrame) -> DataFrame:

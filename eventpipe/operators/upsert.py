@@ -6,6 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from eventpipe.functions.images import effective_content_type, is_strict_base64, object_key
+from eventpipe.operators.images import BASE64, with_kind
+from eventpipe.operators.routing import DATA, IMAGE
+
 
 def latest_per_key(
     changes: DataFrame, keys: Sequence[str], order: Sequence[str], first: Sequence[str] = ()
@@ -66,6 +70,26 @@ def data_changes(events: DataFrame) -> DataFrame:
     )
 
 
+def direct_changes(events: DataFrame) -> DataFrame:
+    """DATA events and images that carry their bytes as rows, in one pass over the events."""
+    kinds = with_kind(events)
+    is_image = F.col("event_type") == IMAGE
+    stored = is_image & (F.col("kind") == BASE64) & is_strict_base64(F.col("image_base64"))
+    content_type = effective_content_type(F.col("image_content_type"), F.lit(None).cast("string"))
+    key = object_key(F.col("date"), F.col("id"), content_type)
+    return kinds.where((F.col("event_type") == DATA) | stored).select(
+        "id",
+        "event_type",
+        "event_time",
+        "source",
+        F.when(~is_image, F.col("payload")).alias("payload"),
+        F.when(is_image, key).alias("image_object_key"),
+        "inserted_at",
+        "src_partition",
+        "src_offset",
+    )
+
+
 def image_changes(objects: DataFrame) -> DataFrame:
     """Stored images as rows for the table of processed events; no payload."""
     return objects.select(

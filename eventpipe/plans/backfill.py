@@ -7,11 +7,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from eventpipe.operators.counts import closed_windows, count_by_window
-from eventpipe.operators.images import failed_images, resolve_images, stored_objects
+from eventpipe.operators.counts import closed_counts, count_by_window
+from eventpipe.operators.images import (
+    failed_images,
+    resolve_images,
+    resolve_linked,
+    stored_objects,
+)
 from eventpipe.operators.parse import bad_records, good_events, parse_events
-from eventpipe.operators.routing import data_events, image_events
-from eventpipe.operators.upsert import data_changes, image_changes, latest_per_key
+from eventpipe.operators.routing import image_events
+from eventpipe.operators.upsert import direct_changes, image_changes, latest_per_key
 
 ROW_KEYS = ["id"]
 ROW_ORDER = ["src_partition", "src_offset"]
@@ -42,7 +47,9 @@ class Backfill:
         return bad_records(self.parsed).unionByName(failed_images(self.resolved()))
 
     def changes(self) -> DataFrame:
-        return data_changes(data_events(self.events)).unionByName(image_changes(self.image_objects()))
+        """One pass for all events that carry what they need, one for those to be fetched."""
+        linked = stored_objects(resolve_linked(image_events(self.events), self.fetch))
+        return direct_changes(self.events).unionByName(image_changes(linked))
 
     def processed_events(self) -> DataFrame:
         return latest_per_key(self.changes(), ROW_KEYS, ROW_ORDER, ROW_FIRST)
@@ -51,4 +58,4 @@ class Backfill:
         return count_by_window(self.events)
 
     def closed_counts(self) -> DataFrame:
-        return closed_windows(self.counts(), self.events)
+        return closed_counts(self.events)
