@@ -39,12 +39,14 @@ def http_get(timeout: float = 30.0, schemes: tuple[str, ...] = ("http", "https")
 def fetch_with(get: Callable[[str], Response], tasks: int | None = None) -> Callable[[DataFrame], DataFrame]:
     """A fetch for ``resolve_images`` that calls ``get`` once per event, in Spark tasks.
 
-    The rows are spread evenly first: fetching waits for the network, and a
-    topic partition or one much used URL must not make one task fetch it all.
+    The rows are spread evenly first, by their places: fetching waits for the
+    network, and a topic partition or one much used URL must not make one task
+    fetch it all. The number of tasks is that of the cluster's cores if not given.
     """
 
     def fetch(events: DataFrame) -> DataFrame:
-        spread = events.repartition(tasks) if tasks else events.repartition()
+        count = tasks or events.sparkSession.sparkContext.defaultParallelism
+        spread = events.repartition(count, "src_partition", "src_offset")
         schema = T.StructType(events.schema.fields + RESPONSE.fields)
 
         def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
