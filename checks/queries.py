@@ -250,7 +250,7 @@ def stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return object_rows(objects.current_objects(_streamed(spark, sf_dir).image_objects()))
+    return object_rows(_streamed(spark, sf_dir).current_objects())
 
 
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:

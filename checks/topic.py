@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from eventpipe.functions.identity import uuid_from_text
 from eventpipe.functions.images import encode_base64
 from eventpipe.functions.instants import instant_text
+from eventpipe.sources.topic import spread
 
 TABLES = ("events", "documents", "pages", "conversations", "labels", "benchmark")
 
@@ -37,15 +38,22 @@ BLANK_TYPE = " \t"
 RAW_TEXT_SOURCE = "src13"
 
 
+# Stated, so that reading needs no job to find them out.
+SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "benchmark": "item_id BIGINT, text STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False) -> DataFrame:
-    if not streaming:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(sf_dir)
-    )
+    if streaming:
+        reader = spark.readStream.option("pathGlobFilter", f"{name}.parquet")
+        return reader.schema(SCHEMAS[name]).parquet(sf_dir)
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def event_id(kind: str, number: Column | str) -> Column:
@@ -180,7 +188,11 @@ _PARTS = {
 
 
 def topic_records(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
-    parts = [_PARTS[name](table(spark, sf_dir, name, streaming)) for name in TABLES]
+    tables = {name: table(spark, sf_dir, name, streaming) for name in TABLES}
+    if not streaming:
+        # Most records come from here, and the file may be too small to be split.
+        tables["events"] = spread(tables["events"])
+    parts = [_PARTS[name](tables[name]) for name in TABLES]
     return reduce(DataFrame.unionByName, parts)
 
 

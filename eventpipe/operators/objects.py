@@ -20,11 +20,30 @@ def object_index(objects: DataFrame) -> DataFrame:
 def current_objects(objects: DataFrame) -> DataFrame:
     """The last put of every key, with its bytes.
 
-    The winners are found without the bytes. The join back is on key and place,
-    a pair that occurs once, so that a key put very often is spread as well.
+    Tasks drop earlier puts they see before the shuffle, so a key put very
+    often sends one row per task.
     """
-    winners = object_index(objects).select("object_key", *ORDER)
-    return objects.join(winners, ["object_key", *ORDER], "left_semi")
+    return latest_per_key(objects, ["object_key"], ORDER)
+
+
+def without_superseded(objects: DataFrame, max_broadcast_rows: int = 200_000) -> DataFrame:
+    """``current_objects`` for a stored table, without moving bytes where that can be.
+
+    Keys put more than once are counted first, from the narrow columns. If they
+    are few they are broadcast and the bytes stay where they are read; a row of
+    the broadcast is a key and a place, some 150 bytes.
+    """
+    place = F.struct(*ORDER)
+    repeated = (
+        objects.groupBy("object_key")
+        .agg(F.count("*").alias("puts"), F.max(place).alias("last"))
+        .where("puts > 1")
+        .select("object_key", "last")
+    )
+    if repeated.limit(max_broadcast_rows + 1).count() > max_broadcast_rows:
+        return current_objects(objects)
+    joined = objects.join(F.broadcast(repeated), "object_key", "left")
+    return joined.where(F.col("last").isNull() | (place == F.col("last"))).select(*objects.columns)
 
 
 def list_objects(objects: DataFrame, prefix: str = "") -> DataFrame:

@@ -75,6 +75,16 @@ def read_topic_files(spark: SparkSession, path: str, format: str = "parquet") ->
     return spark.read.schema(TOPIC).format(format).load(path)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores if they come from fewer files (or splits) than that.
+
+    Reading JSON is work for the processor, and one unsplittable file would give
+    it all to one task. Input that has enough splits is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def send(records: DataFrame, servers: str = DEFAULT_SERVERS, topic: str = DEFAULT_TOPIC) -> None:
     """Send ``key``, ``value``. The id as key keeps one id's records in order."""
     (

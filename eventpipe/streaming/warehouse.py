@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventpipe import schemas
 from eventpipe.operators.images import stored_objects
+from eventpipe.operators.objects import without_superseded
 from eventpipe.plans.adhoc import register_views
 from eventpipe.plans.backfill import ROW_FIRST, ROW_KEYS, ROW_ORDER
 from eventpipe.streaming.tables import BatchTable, KeyedTable
@@ -39,9 +40,13 @@ class Warehouse:
         return self.counts_table.current()
 
     def image_objects(self) -> DataFrame:
-        """All puts; see ``operators.objects`` for the last put per key."""
+        """All puts, those that were overwritten later included."""
         return stored_objects(self.images_table.read())
 
+    def current_objects(self) -> DataFrame:
+        """The last put per key."""
+        return without_superseded(self.image_objects())
+
     def quarantine(self) -> DataFrame:
         return self.quarantine_table.read()
 
@@ -57,8 +62,8 @@ def export_files(objects: DataFrame, root: str) -> None:
     """One file per object at ``root/object_key``, written by the tasks that hold the rows.
 
     ``root`` must be a folder that every executor has mounted. A file that is
-    there already is overwritten, as a put of the same key would do; give this
-    ``current_objects`` where a key may have been put more than once.
+    there already is overwritten, as a put of the same key would do. Give this
+    ``Warehouse.current_objects``, so that a key has one row.
     """
     import os
 

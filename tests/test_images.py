@@ -13,6 +13,7 @@ from eventpipe.operators.objects import (
     fetch_objects,
     list_folder,
     list_objects,
+    without_superseded,
 )
 from eventpipe.operators.parse import good_events, parse_events
 from eventpipe.operators.routing import image_events
@@ -167,6 +168,17 @@ def test_last_put_of_a_key_wins(spark, topic):
     assert len(keys) == 3 and keys["images/2024-01-05/00000000-0000-0000-0000-000000000001.jpg"] == 5
 
 
+@pytest.mark.parametrize("limit", [0, 1, 100])
+def test_superseded_puts_are_left_out_however_many(spark, topic, limit):
+    table = objects(spark, topic)
+    got = without_superseded(table, limit)
+    assert got.columns == table.columns
+    order = ["object_key"]
+    assert got.orderBy(*order).collect() == current_objects(table).select(*table.columns).orderBy(*order).collect()
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert ("Broadcast" in plan) == (limit > 0)
+
+
 def test_listing(spark, topic):
     table = objects(spark, topic)
     assert list_objects(table, "images/2024-01").count() == 2

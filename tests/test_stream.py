@@ -163,7 +163,7 @@ def test_all_tables(spark, feed, warehouse, tmp_path):
     ).collect()
     assert tuple(verdict) == (3, 2, 6, 1, False)
 
-    export_files(current_objects(warehouse.image_objects()), str(tmp_path / "out"))
+    export_files(warehouse.current_objects(), str(tmp_path / "out"))
     assert open(f"{tmp_path}/out/{KEY}3.png", "rb").read() == b"new"
 
     warehouse.register_views()
