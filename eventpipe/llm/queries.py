@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from eventpipe.llm import line_dedup
+from eventpipe.llm import byte_bpe, chat_format, line_dedup
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_chat_format": chat_format.op2_chat_format,
+    "op3_byte_bpe": byte_bpe.op3_byte_bpe,
 }
 
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
+    "op2_chat_format": chat_format.ORACLE,
 }
