@@ -130,6 +130,7 @@ class Coder:
         })
         self.words: dict[str, bytes] = {}  # pre-token -> ids
         self.chunks: dict[str, bytes] = {}  # chunk after a space -> ids
+        self.chars = 0  # of all chunks held
 
     def _table(self, name: str, columns: dict) -> None:
         self.db.register("given", pa.table(columns))
