@@ -64,8 +64,11 @@ def join_groups(
     total = groups.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
     copies = F.greatest(F.lit(1), F.ceil(F.col(weight) * HEAVY_KEYS / F.lit(max(total, 1)))).cast("int")
     heavy = groups.where(F.col(weight) * HEAVY_KEYS > total).select(*keys, copies.alias("_copies"))
+    # A null key matches nothing, so its rows may go anywhere.
+    no_key = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+    spread = F.when(no_key, HEAVY_KEYS).otherwise(F.coalesce("_copies", F.lit(1)))
     salted = rows.join(F.broadcast(heavy), list(keys), "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*salt_by), F.coalesce("_copies", F.lit(1))).cast("int")
+        "_salt", F.pmod(F.xxhash64(*salt_by), spread).cast("int")
     )
     repeated = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1)))
     return salted.drop("_copies").join(repeated, [*keys, "_salt"], how).drop("_salt")

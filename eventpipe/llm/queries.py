@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventpipe.llm import byte_bpe, chat_format, line_dedup, token_counts, toxicity
+from eventpipe.llm import byte_bpe, chat_format, decontaminate, language_id, line_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -10,9 +10,13 @@ QUERIES = {
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op10_language_id": language_id.op10_language_id,
+    "language_id_pages": language_id.language_id_pages,
 }
 
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op2_chat_format": chat_format.ORACLE,
+    "op9_decontaminate": decontaminate.ORACLE,
 }
