@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from eventpipe.llm import byte_bpe, chat_format, decontaminate, language_id, line_dedup, token_counts, toxicity
+from eventpipe.llm import byte_bpe, chat_format, decontaminate, language_id, line_dedup, minhash, token_counts, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_chat_format": chat_format.op2_chat_format,
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
+    "op6_minhash_dedup": minhash.op6_minhash_dedup,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_decontaminate": decontaminate.op9_decontaminate,
