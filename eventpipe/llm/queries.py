@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from eventpipe.llm import byte_bpe, chat_format, decontaminate, language_id, line_dedup, minhash, token_counts, toxicity
+from eventpipe.llm import byte_bpe, chat_format, decontaminate, language_id, line_dedup, minhash, token_counts, topk, toxicity, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_chat_format": chat_format.op2_chat_format,
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
+    "op4_warc": warc.op4_warc,
+    "op5_topk": topk.op5_topk,
     "op6_minhash_dedup": minhash.op6_minhash_dedup,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_toxicity": toxicity.op8_toxicity,
@@ -19,5 +21,7 @@ QUERIES = {
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op2_chat_format": chat_format.ORACLE,
+    "op4_warc": warc.ORACLE,
+    "op5_topk": topk.ORACLE,
     "op9_decontaminate": decontaminate.ORACLE,
 }
