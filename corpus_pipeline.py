@@ -1,10 +1,102 @@
-"""A corpus pipeline of five stages over ``documents``."""
+"""A corpus pipeline of five stages over ``documents``.
+
+Each stage takes (spark, docs, sf_dir), works on all its predecessor kept and
+returns a frame; ``run`` writes it as Parquet in the shared folder and hands it
+to the next one. All stages but the last return the columns of documents.
+Whatever a stage decides is settled in a narrow table first; texts move at most
+once per stage, to meet the decisions about them.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from eventpipe.llm.byte_bpe import encode_decode
+from eventpipe.llm.common import Scratch
+from eventpipe.llm.decontaminate import contaminated
+from eventpipe.llm.language_id import document_evidence, identify
+from eventpipe.llm.line_dedup import dedup_lines
+from eventpipe.llm.minhash import near_duplicates
+
+# Near duplicates are told by shingles of five words here.
+SHINGLE_WORDS = 5
+
+
+def _row_key() -> Column:
+    """Tells rows apart that share a doc_id but not the content."""
+    return F.struct("doc_id", F.xxhash64("text", "lang", "source").alias("content"))
+
+
+def _without(docs: DataFrame, rejected: DataFrame, on: Column, scratch: Scratch) -> DataFrame:
+    """``docs`` but those that match ``rejected``; it is settled, so Spark knows its size and may broadcast it."""
+    return docs.join(scratch.settle(rejected, "rejected").alias("rejected"), on, "left_anti")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts without letters and those of no language with a probability of a half."""
+    scratch = Scratch(spark, "pipeline-language")
+    found = identify(document_evidence(docs, _row_key()))
+    rejected = found.where(~F.col("kept")).select("key.doc_id", "key.content").distinct()
+    on = docs["doc_id"].eqNullSafe(F.col("rejected.doc_id")) & (
+        F.xxhash64(docs["text"], docs["lang"], docs["source"]) == F.col("rejected.content")
+    )
+    return _without(docs, rejected, on, scratch)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes repeated lines out of the texts; ``n_chars`` follows. A document that loses all its lines goes."""
+    cleaned = dedup_lines(docs)
+    emptied = (F.col("n_dropped") > 0) & (F.trim("kept") == "")
+    return cleaned.where(~emptied).select(
+        *[
+            F.col("kept").alias(c) if c == "text" else F.char_length("kept").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
+            for c in docs.columns
+        ]
+    )
+
+
+def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest doc_id of each group of near duplicates."""
+    scratch = Scratch(spark, "pipeline-near")
+    gone = near_duplicates(docs, size=SHINGLE_WORDS).where(~F.col("kept")).select("doc_id").distinct()
+    return _without(docs, gone, docs["doc_id"] == F.col("rejected.doc_id"), scratch)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item."""
+    scratch = Scratch(spark, "pipeline-leaks")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaked = contaminated(docs, items).select("doc_id").distinct()
+    return _without(docs, leaked, docs["doc_id"].eqNullSafe(F.col("rejected.doc_id")), scratch)
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every kept text, as little-endian 32-bit integers, with digests of them and of the decoded bytes."""
+    coded = encode_decode(docs)
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "ids",
+    )
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("minhash_dedup", minhash_dedup),
+    ("decontaminate", decontaminate),
+    ("byte_bpe", byte_bpe),
+]
+# SQL can express neither the trained language model nor the tokenizer.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of all stages over ``documents``."""
+    scratch = Scratch(spark, "pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = scratch.settle(stage(spark, docs, sf_dir), name)
+    return docs
