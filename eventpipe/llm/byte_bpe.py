@@ -28,6 +28,12 @@ CACHE_CHARS = 32_000_000
 QUERY_BYTES = 64
 QUERY_WORDS = 50_000
 SLICE_CHARS = 4_000_000
+# Below this all versions of Unicode that libraries follow agree on letters, numbers and spaces.
+RARE_FROM = "\u0500"
+RARE = re.compile("[^\x00-\u04ff]")
+# A character of each class of the pattern that every version knows, and one of none.
+CLASSES = {r"\p{L}": "\u4e2d", r"\p{N}": "\u0663", r"\s": "\u2003"}
+OTHER_CHAR = "\u2020"
 
 # State rows: a position's id and its right neighbour's (-1 at the end of a word).
 # A step's key is rank and position, so its minimum is the leftmost pair of least rank.
@@ -110,7 +116,9 @@ class Coder:
         import duckdb
         import regex
 
-        self.find = regex.compile(pattern).findall
+        self.pattern = regex.compile(pattern)
+        self.classes: dict[str, object] = {}
+        self.stand_ins: dict[str, str] = {}
         self.ranks = read_ranks(ranks_path)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.db = duckdb.connect()
@@ -137,6 +145,33 @@ class Coder:
         self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
         self.db.unregister("given")
 
+    def find(self, text: str) -> list[str]:
+        """Pre-tokens of a text, its characters classed as the tiktoken library does.
+
+        Libraries follow different versions of Unicode. A character they class
+        differently is replaced by one of the right class while the text is cut.
+        """
+        if text.isascii() or not (rare := RARE.findall(text)):
+            return self.pattern.findall(text)
+        plain = "".join([self._stand_in(c) for c in text]) if any(self._stand_in(c) != c for c in set(rare)) else text
+        return [text[m.start() : m.end()] for m in self.pattern.finditer(plain)]
+
+    def _stand_in(self, char: str) -> str:
+        if char < RARE_FROM:
+            return char
+        if char not in self.stand_ins:
+            import regex
+            import tiktoken
+
+            if not self.classes:
+                single = {bytes([b]): b for b in range(256)}
+                for name in CLASSES:
+                    self.classes[name] = tiktoken.Encoding(name, pat_str=name, mergeable_ranks=single, special_tokens={})
+            right = next((n for n in CLASSES if self.classes[n].encode_ordinary(char)), "")
+            own = next((n for n in CLASSES if regex.match(n, char)), "")
+            self.stand_ins[char] = char if own == right else CLASSES.get(right, OTHER_CHAR)
+        return self.stand_ins[char]
+
     def _learn(self, words: set[str]) -> None:
         """Ids of words that are not in the cache yet."""
         names, tokens = [], []

@@ -52,15 +52,16 @@ def with_shingles(frame: DataFrame, *keep: Column) -> DataFrame:
 
 
 def item_classes(items: DataFrame) -> DataFrame:
-    """(item_id, n_items, size, shingles, signature): items with equal sets as one, under the smallest id.
+    """(item, item_id, n_items, size, shingles, signature): items with equal sets as one, under the smallest id.
 
-    ``class`` is the size class; items without words are left out.
+    ``item`` is a hash of the set and never null, ``class`` the size class;
+    items without words are left out.
     """
     sets = with_shingles(items, F.col("item_id")).where(F.size("shingles") > 0)
     sets = sets.groupBy(F.array_sort("shingles").alias("shingles")).agg(
         F.min("item_id").alias("item_id"), F.count("*").alias("n_items")
     )
-    sized = sets.withColumn("size", F.size("shingles")).withColumn("class", F.floor(F.log2("size")).cast("int"))
+    sized = sets.withColumn("item", F.xxhash64("shingles")).withColumn("size", F.size("shingles")).withColumn("class", F.floor(F.log2("size")).cast("int"))
     least = F.transform(
         F.sequence(F.lit(1), F.col("class") + LEAST_HASHES),
         lambda k: F.array_min(
@@ -85,7 +86,7 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = CONTAINMENT_P
     document of the same few words. Null and empty texts have no words and
     never leak. Rows that share a doc_id are looked at each, and a leak of
     several counts once, by the largest share; a null doc_id is reported as
-    null. Either table may be empty: then nothing leaks. Other columns are
+    null, and so is an item without id. Either table may be empty: then nothing leaks. Other columns are
     ignored.
     """
     scratch = Scratch(docs.sparkSession, "decontaminate")
@@ -97,27 +98,27 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = CONTAINMENT_P
     hits = scratch.settle(
         seen.join(F.broadcast(slots), slot(F.col("h")) == F.col("slot"), "left_semi"), "hits"
     )
-    signatures = classes.select("item_id", "size", F.explode("signature").alias("h"))
+    signatures = classes.select("item", "size", F.explode("signature").alias("h"))
     holders = hits.groupBy("h").agg(F.count("*").alias("holders"))
     signed = scratch.settle(signatures.join(holders, "h"), "signatures")
     fits = F.col("n") * 100 >= F.col("size") * percent
     candidates = scratch.settle(
         join_groups(hits, signed, ["h"], "holders", ["doc_id", "text_hash"])
         .where(fits)
-        .select("doc_id", "text_hash", "n", "item_id")
+        .select("doc_id", "text_hash", "n", "item")
         .distinct(),
         "candidates",
     )
     # A document's hits meet in one row: it is at most as long as the document.
     held = hits.groupBy("doc_id", "text_hash", "n").agg(F.collect_set("h").alias("held"))
     same = candidates["doc_id"].eqNullSafe(held["doc_id"]) & (candidates["text_hash"] == held["text_hash"])
-    paired = candidates.select("doc_id", "text_hash", "item_id").join(held.drop("n"), same).select(
-        candidates["doc_id"], candidates["text_hash"], "item_id", "held"
+    paired = candidates.select("doc_id", "text_hash", "item").join(held.drop("n"), same).select(
+        candidates["doc_id"], candidates["text_hash"], "item", "held"
     )
-    asked = candidates.groupBy("item_id").agg(F.count("*").alias("asked"))
-    asked = scratch.settle(asked.join(classes.select("item_id", "n_items", "size", "shingles"), "item_id"), "asked")
+    asked = candidates.groupBy("item").agg(F.count("*").alias("asked"))
+    asked = scratch.settle(asked.join(classes.select("item", "item_id", "n_items", "size", "shingles"), "item"), "asked")
     shared = F.size(F.array_intersect("shingles", "held"))
-    counted = join_groups(paired, asked, ["item_id"], "asked", ["doc_id", "text_hash"]).select(
+    counted = join_groups(paired, asked, ["item"], "asked", ["doc_id", "text_hash"]).select(
         "doc_id", "item_id", "n_items", F.col("size").alias("n_item_shingles"), shared.alias("n_shared")
     )
     leaks = counted.where(F.col("n_shared") * 100 >= F.col("n_item_shingles") * percent)

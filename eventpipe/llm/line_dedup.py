@@ -164,14 +164,16 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     whole = docs.select(F.struct("*").alias("row"), lines_of(F.col("text")).alias("lines"))
     same = F.col("row.doc_id").eqNullSafe(lost["doc_id"]) & (F.xxhash64("row.text") == lost["text_hash"])
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "lost")
-    return whole.join(lost, same, "left").select(
-        *[F.col("row").getField(c).alias(c) for c in docs.columns if c not in ADDED],
+    done = whole.join(lost, same, "left").select(
+        "row",
         F.size("lines").cast("long").alias("n_lines"),
         F.when(F.col("lost").isNotNull(), F.size("lost")).otherwise(0).cast("long").alias("n_dropped"),
         F.when(F.col("lost").isNull(), F.coalesce("row.text", F.lit("")))
         .otherwise(F.array_join(F.transform(kept, lambda i: F.element_at("lines", i + 1)), "\n"))
         .alias("kept"),
     )
+    rest = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ADDED]
+    return done.select(*rest, *ADDED)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

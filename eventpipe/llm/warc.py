@@ -137,6 +137,11 @@ def write_archive(pages: DataFrame, folder: str, scratch: Scratch, roll_bytes: i
     table makes an archive of no files.
     """
     spark = pages.sparkSession
+    paths = spark._jvm.org.apache.hadoop.fs
+    final = paths.Path(f"{folder}/manifest")
+    files = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(final):
+        raise OSError(f"there is an archive in {folder} already")
     size = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     shards = max(1, -(-size // PARTITION_BYTES), spark.sparkContext.defaultParallelism if size > (32 << 20) else 1)
 
@@ -167,10 +172,8 @@ def write_archive(pages: DataFrame, folder: str, scratch: Scratch, roll_bytes: i
 
     ordered = with_types(pages, scratch).repartitionByRange(shards, "page_id").sortWithinPartitions("page_id", "digest")
     ordered.mapInArrow(write, MANIFEST).write.mode("overwrite").parquet(f"{folder}/manifest.tmp")
-    paths = spark._jvm.org.apache.hadoop.fs
-    files = paths.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.rename(paths.Path(f"{folder}/manifest.tmp"), paths.Path(f"{folder}/manifest")):
-        raise OSError(f"there is an archive in {folder} already")
+    if not files.rename(paths.Path(f"{folder}/manifest.tmp"), final):
+        raise OSError(f"the manifest of {folder} was not committed")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
