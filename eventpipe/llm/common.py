@@ -53,9 +53,9 @@ def join_groups(
     salt_by: Sequence[str],
     how: str = "inner",
 ) -> DataFrame:
-    """Join ``rows`` to ``groups``, which holds each key once, without a hot partition.
+    """Join ``rows`` to ``groups``, which holds few rows for a key, without a hot partition.
 
-    ``weight`` in ``groups`` is the number of rows of a key. A key with a share s
+    ``weight`` in ``groups`` is the number of rows of a key, alike in all groups of it. A key with a share s
     of all weight is dealt over ceil(1000 s) salts, its group repeated as often,
     so that no partition gets over a thousandth of the rows for one key. Only
     keys with over a thousandth of the weight are broadcast: at most a thousand.
@@ -63,7 +63,7 @@ def join_groups(
     """
     total = groups.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
     copies = F.greatest(F.lit(1), F.ceil(F.col(weight) * HEAVY_KEYS / F.lit(max(total, 1)))).cast("int")
-    heavy = groups.where(F.col(weight) * HEAVY_KEYS > total).select(*keys, copies.alias("_copies"))
+    heavy = groups.where(F.col(weight) * HEAVY_KEYS > total).select(*keys, copies.alias("_copies")).distinct()
     # A null key matches nothing, so its rows may go anywhere.
     no_key = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
     spread = F.when(no_key, HEAVY_KEYS).otherwise(F.coalesce("_copies", F.lit(1)))
