@@ -13,14 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from checks.topic import event_id, minutes_after_start, page_answers, table, topic_records
 from eventpipe.operators import envelopes, objects, routing
 from eventpipe.operators.counts import count_by_window
-from eventpipe.operators.images import skipped_images
+from eventpipe.operators.images import resolve_linked, skipped_images
 from eventpipe.operators.parse import bad_records
 from eventpipe.operators.upsert import latest_per_key
 from eventpipe.plans import adhoc, analytics
 from eventpipe.plans.backfill import Backfill
-from eventpipe.plans.reconcile import count_image_rows, reconcile_images, sum_image_counts
+from eventpipe.plans.reconcile import count_image_rows, reconcile_totals, sum_image_counts
 from eventpipe.session import configure, work_dir
-from eventpipe.sources.fetch import fetch_from
+from eventpipe.sources.fetch import fetch_from, fetch_with
 from eventpipe.sources.topic import with_places
 from eventpipe.streaming.jobs import run_to_end
 from eventpipe.streaming.warehouse import COUNT_KEYS, COUNT_ORDER, Warehouse
@@ -106,7 +106,7 @@ def stored_images(b: Backfill) -> DataFrame:
 
 
 def fetched_objects(b: Backfill) -> DataFrame:
-    keys = b.processed_events().select(F.col("image_object_key").alias("object_key"))
+    keys = b.processed_events("image_object_key").select(F.col("image_object_key").alias("object_key"))
     return object_rows(objects.fetch_objects(b.image_objects(), keys))
 
 
@@ -116,6 +116,7 @@ def folder_sizes(b: Backfill) -> DataFrame:
 
 # -- tables -------------------------------------------------------------------
 
+LATEST = ["event_type", "event_time", "source", "image_object_key", "inserted_at"]
 ROW_COLUMNS = ["id", "event_type", "event_time", "source", "payload", "image_object_key", "inserted_at"]
 
 
@@ -132,8 +133,7 @@ def counts_upsert(b: Backfill) -> DataFrame:
 
 
 def reconciled(b: Backfill) -> DataFrame:
-    listed = objects.list_objects(b.image_objects())
-    return reconcile_images(listed, b.processed_events(), b.closed_counts())
+    return reconcile_totals(b.image_totals(), b.closed_counts())
 
 
 def by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,16 +232,46 @@ def sent_and_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streams ------------------------------------------------------------------
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> Warehouse:
+def _run(spark: SparkSession, sf_dir: str, warehouse: Warehouse, rows: bool = True) -> Warehouse:
+    """One of the two streaming queries over the whole topic, with a checkpoint of its own."""
+    records, fetch = topic_records(spark, sf_dir, streaming=True), fetch_from(page_answers(spark, sf_dir))
+    run_to_end(records, warehouse, fetch, work_dir(spark, "checkpoint"), rows=rows, counts=not rows)
+    return warehouse
+
+
+def _streamed(spark: SparkSession, sf_dir: str, rows: bool = True) -> Warehouse:
+    configure(spark)
+    return _run(spark, sf_dir, Warehouse(spark, work_dir(spark, "tables")), rows)
+
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot of what one checkpoint has read, then the topic anew with another checkpoint."""
     configure(spark)
     warehouse = Warehouse(spark, work_dir(spark, "tables"))
-    records = topic_records(spark, sf_dir, streaming=True)
-    run_to_end(records, warehouse, fetch_from(page_answers(spark, sf_dir)), work_dir(spark, "checkpoint"))
-    return warehouse
+    b = _backfill(spark, sf_dir)
+    warehouse.events_table.write(b.changes().where(F.col("source") != "retry"), 7, "an-older-run")
+    warehouse.compact()
+    columns = [c for c in ROW_COLUMNS if c != "inserted_at"]
+    return comparable(_run(spark, sf_dir, warehouse).processed_events().select(*columns))
+
+
+def fetched_in_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Image URLs fetched by Python in tasks; what stands behind a URL follows from it by rule."""
+    b = _backfill(spark, sf_dir)
+
+    def get(url: str):
+        if url.startswith("https:"):
+            return 200, "image/png", url.encode()
+        return (404, None, None) if len(url) % 2 else (None, None, None)
+
+    resolved = resolve_linked(routing.image_events(b.events), fetch_with(get))
+    return resolved.select(
+        "id", "object_key", "size", "reason", F.md5("content").alias("content_md5"), "src_partition", "src_offset"
+    )
 
 
 def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(_streamed(spark, sf_dir).event_type_counts().drop("updated_at"))
+    return comparable(_streamed(spark, sf_dir, rows=False).event_type_counts().drop("updated_at"))
 
 
 def stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,15 +318,15 @@ QUERIES: dict[str, Query] = {
     "processed_events_current": _batch(current_rows),
     "counts_upsert": _batch(counts_upsert),
     "compacted_rows": compacted_rows,
-    "q1_count_by_type": _batch(lambda b: analytics.count_by_type(b.processed_events())),
-    "q2_latest_20": _batch(lambda b: analytics.latest_events(b.processed_events())),
-    "q3_by_hour": _batch(lambda b: analytics.count_by_hour(b.processed_events())),
+    "q1_count_by_type": _batch(lambda b: analytics.count_by_type(b.processed_events("event_type"))),
+    "q2_latest_20": _batch(lambda b: analytics.latest_events(b.processed_events(*LATEST))),
+    "q3_by_hour": _batch(lambda b: analytics.count_by_hour(b.processed_events("event_time", "event_type"))),
     "q4_counts_5m": _batch(lambda b: analytics.window_counts(b.closed_counts())),
-    "d1_count_by_type": _batch(lambda b: analytics.panel_count_by_type(b.processed_events())),
-    "d2_latest_20": _batch(lambda b: analytics.panel_latest_events(b.processed_events())),
-    "d3_hourly_series": _batch(lambda b: analytics.panel_hourly(b.processed_events(), *_range())),
+    "d1_count_by_type": _batch(lambda b: analytics.panel_count_by_type(b.processed_events("event_type"))),
+    "d2_latest_20": _batch(lambda b: analytics.panel_latest_events(b.processed_events(*LATEST))),
+    "d3_hourly_series": _batch(lambda b: analytics.panel_hourly(b.processed_events("event_time", "event_type"), *_range())),
     "d4_counts_series": _batch(lambda b: analytics.panel_window_counts(b.closed_counts(), *_range())),
-    "count_image_rows": _batch(lambda b: count_image_rows(b.processed_events())),
+    "count_image_rows": _batch(lambda b: count_image_rows(b.processed_events("event_type", "image_object_key"))),
     "sum_image_counts": _batch(lambda b: sum_image_counts(b.closed_counts())),
     "reconcile_images": _batch(reconciled),
     "adhoc_sql": by_sql,
@@ -309,5 +339,7 @@ QUERIES: dict[str, Query] = {
     "stream_counts_5m": stream_counts,
     "stream_processed_events": stream_rows,
     "stream_image_objects": stream_objects,
+    "stream_restart": stream_restart,
+    "fetch_in_tasks": fetched_in_tasks,
     "stream_quarantine": stream_quarantine,
 }

@@ -48,6 +48,12 @@ def is_strict_base64(text: Column) -> Column:
     return text.rlike(BASE64_ALPHABET) & F.when(padded, size % 4 == 0).otherwise(size % 4 != 1)
 
 
+def decoded_size(text: Column) -> Column:
+    """Number of bytes of strict base64 text, with or without padding."""
+    digits = F.length(F.rtrim(text, F.lit("=")))
+    return F.floor(digits * 3 / 4).cast("bigint")
+
+
 def decode_base64(text: Column) -> Column:
     """The bytes, or NULL if the text is not strict base64."""
     return F.when(is_strict_base64(text), F.unbase64(text))

@@ -33,11 +33,30 @@ def object_or_null(value: Column) -> Column:
     return F.when(F.try_variant_get(value, "$", "map<string,variant>").isNotNull(), value)
 
 
+# Spark's limit for one variant.
+VARIANT_BYTES = 128 * 1024 * 1024
+
+
 def is_object_text(json: Column) -> Column:
     """True for JSON text whose outermost value is an object, if it is valid at all."""
     return F.ltrim(json, F.lit(" \t\r\n")).startswith("{")
 
 
+def read_json(json: Column) -> Column:
+    """The text of an object as a variant, whatever the length of its fields; else NULL.
+
+    ``try_parse_json`` stops at fields of 20 million characters. The variant
+    itself may not exceed ``VARIANT_BYTES``.
+    """
+    parsed = F.from_json(json, "variant", {"maxStringLen": str(2**31 - 1)})
+    return F.when(is_object_text(json), parsed)
+
+
+def is_too_large(json: Column) -> Column:
+    """True for a text that may be fine but is longer than a variant can be."""
+    return is_object_text(json) & (F.octet_length(json) > VARIANT_BYTES)
+
+
 def not_blank(value: Column) -> Column:
     """True if there is a character that is no white space, Unicode spaces included."""
     return F.coalesce(value.rlike(r"\P{javaWhitespace}"), F.lit(False))

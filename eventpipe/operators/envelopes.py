@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eventpipe.functions.images import encode_base64
 from eventpipe.functions.instants import instant_text
-from eventpipe.functions.json_fields import field, is_object_text, not_blank, text
+from eventpipe.functions.json_fields import field, not_blank, read_json, text
 
 # Fixed values.
 SOURCE = "ui"
@@ -25,7 +25,7 @@ def parse_requests(bodies: DataFrame, column: str = "body") -> DataFrame:
     given, if type or URL is an object or array, or if the payload is given
     but is no object.
     """
-    document = F.when(is_object_text(F.col(column)), F.try_parse_json(column))
+    document = read_json(F.col(column))
     parsed = bodies.select("*", F.explode(F.array(document)).alias("document"))
     document = F.col("document")
     fields = parsed.select(

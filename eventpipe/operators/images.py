@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from eventpipe.functions.images import (
     decode_base64,
+    decoded_size,
     effective_content_type,
     is_strict_base64,
     object_key,
 )
 from eventpipe.functions.json_fields import not_blank
+from eventpipe.operators.routing import IMAGE
 from eventpipe.schemas import IMAGE_OBJECTS
 
 BASE64, URL, NOTHING = "base64", "url", "none"
@@ -52,6 +54,8 @@ def resolve_inline(images: DataFrame) -> DataFrame:
     strict = is_strict_base64(F.col("image_base64"))
     return _objects(
         inline.withColumn("content", decode_base64(F.col("image_base64")))
+        # Worked out from the text: listings need no decoded bytes.
+        .withColumn("size", F.when(strict, decoded_size(F.col("image_base64"))))
         .withColumn("response_type", F.lit(None).cast("string"))
         .withColumn("reason", F.when(~strict, BAD_BASE64))
     )
@@ -66,6 +70,7 @@ def resolve_linked(images: DataFrame, fetch: Callable[[DataFrame], DataFrame]) -
     return _objects(
         fetch(linked)
         .withColumn("content", F.when(ok, F.col("response_content")))
+        .withColumn("size", F.octet_length("content").cast("bigint"))
         .withColumn("reason", failure)
     )
 
@@ -78,7 +83,6 @@ def _objects(resolved: DataFrame) -> DataFrame:
         typed.withColumn(
             "object_key", F.when(~failed, object_key(F.col("date"), F.col("id"), F.col("content_type")))
         )
-        .withColumn("size", F.length("content").cast("bigint"))
         # The raw record is kept for the quarantine only.
         .withColumn("value", F.when(failed, F.col("value")))
         .select(*IMAGE_OBJECTS.names)
@@ -89,6 +93,14 @@ def stored_objects(resolved: DataFrame) -> DataFrame:
     return resolved.where(F.col("reason").isNull())
 
 
+def failed_records(parsed: DataFrame) -> DataFrame:
+    """Bad records and images with bad base64, in one pass over parsed records."""
+    inline = (F.col("event_type") == IMAGE) & not_blank(F.col("image_base64"))
+    broken = F.when(inline & ~is_strict_base64(F.col("image_base64")), BAD_BASE64)
+    reasons = parsed.withColumn("reason", F.coalesce("reason", broken))
+    return reasons.where(F.col("reason").isNotNull()).select("value", "reason", "src_partition", "src_offset")
+
+
 def failed_images(resolved: DataFrame) -> DataFrame:
     return resolved.where(F.col("reason").isNotNull()).select(
         "value", "reason", "src_partition", "src_offset"

@@ -18,32 +18,18 @@ def object_index(objects: DataFrame) -> DataFrame:
 
 
 def current_objects(objects: DataFrame) -> DataFrame:
-    """The last put of every key, with its bytes.
+    """The last put of every key, with its bytes: exactly one row per key.
 
-    Tasks drop earlier puts they see before the shuffle, so a key put very
-    often sends one row per task.
+    The winners are found from the narrow columns alone and joined to the bytes
+    by hash, so that these move once and are never sorted. One put that two
+    batches have stored is told apart by ``run`` and ``batch_id`` where the
+    rows carry them.
     """
-    return latest_per_key(objects, ["object_key"], ORDER)
-
-
-def without_superseded(objects: DataFrame, max_broadcast_rows: int = 200_000) -> DataFrame:
-    """``current_objects`` for a stored table, without moving bytes where that can be.
-
-    Keys put more than once are counted first, from the narrow columns. If they
-    are few they are broadcast and the bytes stay where they are read; a row of
-    the broadcast is a key and a place, some 150 bytes.
-    """
-    place = F.struct(*ORDER)
-    repeated = (
-        objects.groupBy("object_key")
-        .agg(F.count("*").alias("puts"), F.max(place).alias("last"))
-        .where("puts > 1")
-        .select("object_key", "last")
-    )
-    if repeated.limit(max_broadcast_rows + 1).count() > max_broadcast_rows:
-        return current_objects(objects)
-    joined = objects.join(F.broadcast(repeated), "object_key", "left")
-    return joined.where(F.col("last").isNull() | (place == F.col("last"))).select(*objects.columns)
+    stored = [c for c in ("run", "batch_id") if c in objects.columns]
+    place = F.struct(*ORDER, *stored)
+    last = objects.groupBy("object_key").agg(F.max(place).alias("last")).select(F.col("object_key").alias("key"), "last")
+    wins = (objects["object_key"] == F.col("key")) & (place == F.col("last"))
+    return objects.join(last.hint("shuffle_hash"), wins, "left_semi").drop(*stored)
 
 
 def list_objects(objects: DataFrame, prefix: str = "") -> DataFrame:

@@ -9,8 +9,9 @@ from eventpipe.functions.images import DEFAULT_CONTENT_TYPE
 from eventpipe.functions.instants import parse_instant
 from eventpipe.functions.json_fields import (
     field,
-    is_object_text,
+    is_too_large,
     object_or_null,
+    read_json,
     text,
     text_at,
     text_or_default,
@@ -21,6 +22,7 @@ DEFAULT_TYPE = "UNKNOWN"
 DEFAULT_SOURCE = "unknown"
 
 BAD_JSON = "bad_json"
+TOO_LARGE = "too_large"
 BAD_ID = "bad_id"
 BAD_TIME = "bad_time"
 
@@ -38,7 +40,7 @@ def parse_events(records: DataFrame) -> DataFrame:
     # generator makes sure that JSON, the dear part, is read once per record.
     # (A second one, for id and time, lost columns in a large plan on Spark 4.1.2.)
     # Projections after it hold what the next step uses more than once.
-    document = F.when(is_object_text(F.col("value")), F.try_parse_json("value"))
+    document = read_json(F.col("value"))
     documents = records.select("*", F.explode(F.array(document)).alias("document"))
     document = F.col("document")
     fields = documents.select(
@@ -69,7 +71,8 @@ def parse_events(records: DataFrame) -> DataFrame:
         text_at(document, "imageBase64").alias("image_base64"),
         F.coalesce(image_type, F.lit(DEFAULT_CONTENT_TYPE)).alias("image_content_type"),
         F.to_date("event_time").alias("date"),
-        F.when(document.isNull(), F.lit(BAD_JSON))
+        F.when(document.isNull() & is_too_large(F.col("value")), F.lit(TOO_LARGE))
+        .when(document.isNull(), F.lit(BAD_JSON))
         .when(F.col("id").isNull(), F.lit(BAD_ID))
         .when(F.col("event_time").isNull(), F.lit(BAD_TIME))
         .alias("reason"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ _UNITS = {"s": "seconds", "m": "minutes", "h": "hours", "d": "days"}
 
 
 def register_views(processed: DataFrame, counts: DataFrame) -> None:
+    """Name the tables for SQL. A view holds the batches there are now: see ``Warehouse.sql``."""
     processed.createOrReplaceTempView(PROCESSED_VIEW)
     counts.createOrReplaceTempView(COUNTS_VIEW)
 
@@ -33,6 +35,8 @@ def run_sql_file(spark: SparkSession, path: str) -> list[DataFrame]:
 
 def fill_time_macros(text: str, low: str, high: str) -> str:
     """Replace the two time macros that dashboard panels use by Spark SQL."""
+    # Read as times first: only what a time prints as gets into the statement.
+    low, high = (datetime.fromisoformat(t).isoformat(" ") for t in (low, high))
     between = rf"\1 BETWEEN TIMESTAMP '{low}' AND TIMESTAMP '{high}'"
     filled = _RANGE.sub(between, text)
     return _BUCKET.sub(

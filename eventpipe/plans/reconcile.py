@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from eventpipe.operators.routing import IMAGE
 
@@ -14,9 +14,12 @@ def _measure(total: DataFrame, name: str) -> DataFrame:
     return total.select(*[F.col("total") if m == name else zero.alias(m) for m in MEASURES]).toDF(*MEASURES)
 
 
+def is_image_row() -> Column:
+    return (F.col("event_type") == IMAGE) & F.col("image_object_key").isNotNull()
+
+
 def count_image_rows(processed: DataFrame) -> DataFrame:
-    stored = (F.col("event_type") == IMAGE) & F.col("image_object_key").isNotNull()
-    return processed.where(stored).agg(F.count("*").alias("total"))
+    return processed.where(is_image_row()).agg(F.count("*").alias("total"))
 
 
 def sum_image_counts(counts: DataFrame) -> DataFrame:
@@ -32,11 +35,17 @@ def reconcile_images(listed: DataFrame, processed: DataFrame, counts: DataFrame)
     The verdict is on objects and rows. The counted events may well be more:
     they hold images without bytes and repeats, and lack windows still open.
     """
-    three = (
-        _measure(listed.agg(F.count("*").alias("total")), "n_objects")
-        .unionByName(_measure(count_image_rows(processed), "n_rows"))
-        .unionByName(_measure(sum_image_counts(counts), "n_counted"))
-    )
+    objects = _measure(listed.agg(F.count("*").alias("total")), "n_objects")
+    return _verdict(objects.unionByName(_measure(count_image_rows(processed), "n_rows")), counts)
+
+
+def reconcile_totals(totals: DataFrame, counts: DataFrame) -> DataFrame:
+    """The same from one row (n_objects, n_rows)."""
+    return _verdict(totals.withColumn("n_counted", F.lit(0).cast("bigint")), counts)
+
+
+def _verdict(measured: DataFrame, counts: DataFrame) -> DataFrame:
+    three = measured.unionByName(_measure(sum_image_counts(counts), "n_counted"))
     return three.agg(*[F.sum(m).alias(m) for m in MEASURES]).select(
         *MEASURES,
         (F.col("n_objects") - F.col("n_rows")).alias("diff"),

@@ -5,7 +5,9 @@ from __future__ import annotations
 import http.client
 import urllib.error
 import urllib.request
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -19,14 +21,33 @@ Response = tuple[int | None, str | None, bytes | None]
 BATCH_BYTES = 32 * 1024 * 1024
 
 
+# GETs that one task has under way at a time.
+IN_FLIGHT = 8
+
+
+class SafeRedirects(urllib.request.HTTPRedirectHandler):
+    """Follows a redirect within the allowed schemes, never from https to http; else the status stands."""
+
+    def __init__(self, schemes: tuple[str, ...]) -> None:
+        self.schemes = schemes
+
+    def redirect_request(self, req, fp, code, msg, headers, newurl):
+        old, new = (url.split(":", 1)[0].lower() for url in (req.full_url, newurl))
+        if new not in self.schemes or (old == "https" and new == "http"):
+            return None
+        return super().redirect_request(req, fp, code, msg, headers, newurl)
+
+
 def http_get(timeout: float = 30.0, schemes: tuple[str, ...] = ("http", "https")) -> Callable[[str], Response]:
-    """A GET that follows redirects and gives back any status."""
+    """A GET that follows safe redirects and gives back any status."""
 
     def get(url: str) -> Response:
         if url.split(":", 1)[0].lower() not in schemes:
             return None, None, None
         try:
-            with urllib.request.urlopen(url, timeout=timeout) as answer:
+            # Built here: an opener cannot be sent to tasks.
+            opener = urllib.request.build_opener(SafeRedirects(schemes))
+            with opener.open(url, timeout=timeout) as answer:
                 return answer.status, answer.headers.get("content-type"), answer.read()
         except urllib.error.HTTPError as error:
             return error.code, error.headers.get("content-type"), None
@@ -36,24 +57,38 @@ def http_get(timeout: float = 30.0, schemes: tuple[str, ...] = ("http", "https")
     return get
 
 
-def fetch_with(get: Callable[[str], Response], tasks: int | None = None) -> Callable[[DataFrame], DataFrame]:
+def in_order(get: Callable[[str], Response], urls: Iterator[str], in_flight: int) -> Iterator[Response]:
+    """Answers in the order of the URLs, with at most ``in_flight`` GETs started and not yet handed on."""
+    with ThreadPoolExecutor(in_flight) as pool:
+        started: deque = deque()
+        for url in urls:
+            started.append(pool.submit(get, url))
+            if len(started) >= in_flight:
+                yield started.popleft().result()
+        while started:
+            yield started.popleft().result()
+
+
+def fetch_with(
+    get: Callable[[str], Response], tasks: int | None = None, in_flight: int = IN_FLIGHT
+) -> Callable[[DataFrame], DataFrame]:
     """A fetch for ``resolve_images`` that calls ``get`` once per event, in Spark tasks.
 
     The rows are spread evenly first, by their places: fetching waits for the
     network, and a topic partition or one much used URL must not make one task
-    fetch it all. The number of tasks is that of the cluster's cores if not given.
+    fetch it all. The number of tasks is that of the shuffle partitions if not given.
     """
 
     def fetch(events: DataFrame) -> DataFrame:
-        count = tasks or events.sparkSession.sparkContext.defaultParallelism
+        count = tasks or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         spread = events.repartition(count, "src_partition", "src_offset")
         schema = T.StructType(events.schema.fields + RESPONSE.fields)
 
         def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 start, size, responses = 0, 0, []
-                for url in batch["image_url"]:
-                    responses.append(get(url))
+                for response in in_order(get, batch["image_url"], in_flight):
+                    responses.append(response)
                     size += len(responses[-1][2] or b"")
                     if size >= BATCH_BYTES:
                         yield _joined(batch, start, responses)

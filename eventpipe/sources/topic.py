@@ -76,13 +76,12 @@ def read_topic_files(spark: SparkSession, path: str, format: str = "parquet") ->
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """Rows over all cores if they come from fewer files (or splits) than that.
+    """Rows dealt out evenly over the session's shuffle partitions.
 
     Reading JSON is work for the processor, and one unsplittable file would give
-    it all to one task. Input that has enough splits is left as it is.
+    it all to one task.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def send(records: DataFrame, servers: str = DEFAULT_SERVERS, topic: str = DEFAULT_TOPIC) -> None:

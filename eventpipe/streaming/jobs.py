@@ -13,6 +13,7 @@ from eventpipe.operators.images import failed_images, resolve_images, stored_obj
 from eventpipe.operators.parse import bad_records, good_events, parse_events, require_good
 from eventpipe.operators.routing import data_events, image_events
 from eventpipe.operators.upsert import data_changes, image_changes
+from eventpipe.streaming.tables import DEFAULT_RUN
 from eventpipe.streaming.warehouse import Warehouse
 
 # Fixed value: how often the state of the queries is made durable.
@@ -21,6 +22,11 @@ INTERVAL = "10 seconds"
 Fetch = Callable[[DataFrame], DataFrame]
 
 
+def run_of(batch: DataFrame) -> str:
+    """The id of the streaming query a micro-batch belongs to: that of its checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or DEFAULT_RUN
+
+
 def write_rows(parsed: DataFrame, batch_id: int, warehouse: Warehouse, fetch: Fetch) -> None:
     """Write one micro-batch of parsed records to the row tables.
 
@@ -28,16 +34,17 @@ def write_rows(parsed: DataFrame, batch_id: int, warehouse: Warehouse, fetch: Fe
     URL is fetched once, and no bytes are held for the tables that follow.
     Every write overwrites the folder of this batch.
     """
+    run = run_of(parsed)
     parsed.persist(StorageLevel.DISK_ONLY)
     try:
         events = good_events(parsed)
         images = warehouse.images_table
-        images.write(resolve_images(image_events(events), fetch), batch_id)
-        resolved = images.read([batch_id])
+        images.write(resolve_images(image_events(events), fetch), batch_id, run)
+        resolved = images.read([(run, batch_id)])
         changes = data_changes(data_events(events)).unionByName(image_changes(stored_objects(resolved)))
-        warehouse.events_table.write(changes, batch_id)
+        warehouse.events_table.write(changes, batch_id, run)
         bad = bad_records(parsed).unionByName(failed_images(resolved))
-        warehouse.quarantine_table.write(bad.withColumn("seen_at", F.current_timestamp()), batch_id)
+        warehouse.quarantine_table.write(bad.withColumn("seen_at", F.current_timestamp()), batch_id, run)
     finally:
         parsed.unpersist()
 
@@ -83,19 +90,22 @@ def start_counts(
     counts = count_stream(events).withColumn("updated_at", F.current_timestamp())
     return (
         counts.writeStream.outputMode("append")
-        .foreachBatch(lambda batch, id: warehouse.counts_table.write(batch, id))
+        .foreachBatch(lambda batch, id: warehouse.counts_table.write(batch, id, run_of(batch)))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": INTERVAL}))
         .start()
     )
 
 
-def run_to_end(records: DataFrame, warehouse: Warehouse, fetch: Fetch, checkpoint: str) -> None:
-    """Both queries over all records there are now, then stop."""
+def run_to_end(
+    records: DataFrame, warehouse: Warehouse, fetch: Fetch, checkpoint: str, rows: bool = True, counts: bool = True
+) -> None:
+    """Both queries, or the one asked for, over all records there are now, then stop."""
     once = {"availableNow": True}
-    queries = [
-        start_rows(records, warehouse, fetch, f"{checkpoint}/rows", once),
-        start_counts(records, warehouse, f"{checkpoint}/counts", once),
-    ]
+    queries = []
+    if rows:
+        queries.append(start_rows(records, warehouse, fetch, f"{checkpoint}/rows", once))
+    if counts:
+        queries.append(start_counts(records, warehouse, f"{checkpoint}/counts", once))
     for query in queries:
         query.awaitTermination()

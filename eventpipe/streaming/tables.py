@@ -1,7 +1,9 @@
 """Tables kept as one folder per micro-batch.
 
 Plain files have no MERGE. A batch overwrites its own folder, so that running
-it again changes nothing, and readers take folders that are complete. What an
+it again changes nothing, and readers take folders that are complete. Batch
+numbers begin at 0 again with a new checkpoint, so folders are kept by run: by
+the id of the streaming query, which lives in its checkpoint. What an
 upsert means (the last row per key) is worked out when reading, and from time
 to time written down as a snapshot by ``compact``.
 """
@@ -18,7 +20,12 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from eventpipe.operators.upsert import latest_per_key, merge_changes
 
 _BATCH = re.compile(r"^batch_id=(\d+)$")
-_SNAPSHOT = re.compile(r"^upto=(\d+)-buckets=(\d+)-[0-9a-f]+$")
+_RUN = re.compile(r"^run=(.+)$")
+_SNAPSHOT = re.compile(r"^number=(\d+)-buckets=(\d+)-[0-9a-f]+$")
+CUT_OFFS = T.StructType([T.StructField("run", T.StringType()), T.StructField("upto", T.LongType())])
+DEFAULT_RUN = "batch"
+
+Batch = tuple[str, int]
 
 
 class BatchTable:
@@ -31,27 +38,36 @@ class BatchTable:
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.partition_by, self.options = list(partition_by), options or {}
 
-    def batch_path(self, batch_id: int) -> str:
-        return f"{self.root}/log/batch_id={batch_id}"
+    def batch_path(self, batch: Batch) -> str:
+        return f"{self.root}/log/run={batch[0]}/batch_id={batch[1]}"
 
-    def write(self, rows: DataFrame, batch_id: int) -> None:
+    def write(self, rows: DataFrame, batch_id: int, run: str = DEFAULT_RUN) -> None:
         writer = rows.select(*self.schema.names).write.mode("overwrite").options(**self.options)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(self.batch_path(batch_id))
-
-    def batch_ids(self) -> list[int]:
-        """Batches that are complete."""
-        found = (_BATCH.match(name) for name in self._complete("log"))
-        return sorted(int(m[1]) for m in found if m)
-
-    def read(self, batch_ids: Sequence[int] | None = None) -> DataFrame:
-        ids = self.batch_ids() if batch_ids is None else batch_ids
-        if not ids:
-            return self.spark.createDataFrame([], self.schema)
-        # From the base path on, folders are partitions: the batch and those inside it.
-        frames = self.spark.read.schema(self.schema).option("basePath", f"{self.root}/log")
-        return frames.parquet(*[self.batch_path(i) for i in ids]).select(*self.schema.names)
+        writer.parquet(self.batch_path((run, batch_id)))
+
+    def batches(self) -> list[Batch]:
+        """Batches that are complete, as (run, number)."""
+        runs = (_RUN.match(name) for name in self._folders("log"))
+        found = ((m[1], _BATCH.match(name)) for m in runs if m for name in self._complete(f"log/run={m[1]}"))
+        return sorted((run, int(m[1])) for run, m in found if m)
+
+    def read(self, batches: Sequence[Batch] | None = None, with_batch: bool = False) -> DataFrame:
+        """Rows of the given batches or of all; ``with_batch`` adds ``run`` and ``batch_id``."""
+        wanted = self.batches() if batches is None else batches
+        columns = [*self.schema.names, *(["run", "batch_id"] if with_batch else [])]
+        schema = T.StructType([*self.schema.fields, T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())])
+        if not wanted:
+            return self.spark.createDataFrame([], schema).select(*columns)
+        # From the base path on, folders are partitions: run, batch and those inside it.
+        frames = self.spark.read.schema(schema).option("basePath", f"{self.root}/log")
+        return frames.parquet(*[self.batch_path(b) for b in wanted]).select(*columns)
+
+    def _folders(self, folder: str) -> list[str]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
+        fs = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        return [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()] if fs.exists(path) else []
 
     def _complete(self, folder: str) -> list[str]:
         jvm = self.spark._jvm
@@ -100,16 +116,23 @@ class KeyedTable(BatchTable):
         return merge_changes(base, self._collapsed(later), self.keys, self.order, self.first)
 
     def compact(self) -> None:
-        """Write a new snapshot of everything up to the last complete batch.
+        """Write a new snapshot of everything up to the last complete batch of every run.
 
-        It goes to a new folder; readers switch to it once it is complete.
+        It goes to a new folder with the cut-off of each run beside it; readers
+        switch to it once it is complete.
         """
         snapshot, later = self._state()
         if not later:
             return
         buckets = snapshot[2] if snapshot else self.buckets
-        path = f"{self.root}/snapshot/upto={later[-1]}-buckets={buckets}-{uuid.uuid4().hex}"
+        number = snapshot[1] + 1 if snapshot else 0
+        folder = f"number={number}-buckets={buckets}-{uuid.uuid4().hex}"
+        path = f"{self.root}/snapshot/{folder}"
         rows = self.current()
+        upto = {**self._cut_offs(snapshot), **{run: n for run, n in later}}
+        self.spark.createDataFrame(list(upto.items()), CUT_OFFS).coalesce(1).write.parquet(
+            f"{self.root}/cut_offs/{folder}"
+        )
         if snapshot is None or not self._joins_by_bucket(buckets):
             # Otherwise the join with the old snapshot has left rows in buckets already.
             rows = rows.repartition(buckets, *self.keys)
@@ -124,15 +147,22 @@ class KeyedTable(BatchTable):
         """Spark keeps the buckets in a join if they are not fewer than its own partitions."""
         return buckets >= int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def _collapsed(self, batch_ids: Sequence[int]) -> DataFrame:
-        return latest_per_key(self.read(batch_ids), self.keys, self.order, self.first)
+    def _collapsed(self, batches: Sequence[Batch]) -> DataFrame:
+        return latest_per_key(self.read(batches), self.keys, self.order, self.first)
+
+    def _cut_offs(self, snapshot: tuple[str, int, int] | None) -> dict[str, int]:
+        """Last batch of each run that the snapshot holds: a row per run."""
+        if snapshot is None:
+            return {}
+        rows = self.spark.read.schema(CUT_OFFS).parquet(f"{self.root}/cut_offs/{snapshot[0]}")
+        return {r["run"]: r["upto"] for r in rows.collect()}
 
-    def _state(self) -> tuple[tuple[str, int, int] | None, list[int]]:
-        """Newest snapshot as (folder, last batch, buckets), and the batches after it."""
+    def _state(self) -> tuple[tuple[str, int, int] | None, list[Batch]]:
+        """Newest snapshot as (folder, number, buckets), and the batches it lacks."""
         found = [(m[0], int(m[1]), int(m[2])) for n in self._complete("snapshot") if (m := _SNAPSHOT.match(n))]
         snapshot = max(found, key=lambda s: (s[1], s[0]), default=None)
-        done = snapshot[1] if snapshot else -1
-        return snapshot, [i for i in self.batch_ids() if i > done]
+        upto = self._cut_offs(snapshot)
+        return snapshot, [(run, n) for run, n in self.batches() if n > upto.get(run, -1)]
 
     def _snapshot_frame(self, folder: str, _: int, buckets: int) -> DataFrame:
         path = f"{self.root}/snapshot/{folder}"

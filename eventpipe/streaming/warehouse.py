@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventpipe import schemas
 from eventpipe.operators.images import stored_objects
-from eventpipe.operators.objects import without_superseded
-from eventpipe.plans.adhoc import register_views
+from eventpipe.operators.objects import current_objects
+from eventpipe.operators.upsert import latest_per_key
+from eventpipe.plans.adhoc import register_views, run_sql
 from eventpipe.plans.backfill import ROW_FIRST, ROW_KEYS, ROW_ORDER
 from eventpipe.streaming.tables import BatchTable, KeyedTable
 
@@ -45,14 +46,20 @@ class Warehouse:
 
     def current_objects(self) -> DataFrame:
         """The last put per key."""
-        return without_superseded(self.image_objects())
+        return current_objects(stored_objects(self.images_table.read(with_batch=True)))
 
     def quarantine(self) -> DataFrame:
-        return self.quarantine_table.read()
+        """One row per place in the topic, as last seen: another run reads the same records again."""
+        return latest_per_key(self.quarantine_table.read(), ["src_partition", "src_offset"], ["seen_at"])
 
     def register_views(self) -> None:
         register_views(self.processed_events(), self.event_type_counts())
 
+    def sql(self, text: str) -> DataFrame:
+        """Run a statement over the tables as they are at this moment."""
+        self.register_views()
+        return run_sql(self.spark, text)
+
     def compact(self) -> None:
         self.events_table.compact()
         self.counts_table.compact()

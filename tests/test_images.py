@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from eventpipe.functions.images import decoded_size
 from eventpipe.operators.images import resolve_images, skipped_images, stored_objects
 from eventpipe.operators.objects import (
     current_objects,
@@ -13,12 +14,11 @@ from eventpipe.operators.objects import (
     fetch_objects,
     list_folder,
     list_objects,
-    without_superseded,
 )
 from eventpipe.operators.parse import good_events, parse_events
 from eventpipe.operators.routing import image_events
 from eventpipe.sources import fetch as fetching
-from eventpipe.sources.fetch import fetch_from, fetch_with, http_get
+from eventpipe.sources.fetch import SafeRedirects, fetch_from, fetch_with, http_get, in_order
 
 ID = "a0eebc99-9c0b-4ef8-bb6d-6bb9bd380a11"
 
@@ -168,15 +168,50 @@ def test_last_put_of_a_key_wins(spark, topic):
     assert len(keys) == 3 and keys["images/2024-01-05/00000000-0000-0000-0000-000000000001.jpg"] == 5
 
 
-@pytest.mark.parametrize("limit", [0, 1, 100])
-def test_superseded_puts_are_left_out_however_many(spark, topic, limit):
+def test_one_put_that_two_batches_stored_is_one_row(spark, topic):
     table = objects(spark, topic)
-    got = without_superseded(table, limit)
+    twice = table.withColumn("run", F.lit("r")).withColumn("batch_id", F.explode(F.array(F.lit(1), F.lit(2))))
+    got = current_objects(twice)
     assert got.columns == table.columns
-    order = ["object_key"]
-    assert got.orderBy(*order).collect() == current_objects(table).select(*table.columns).orderBy(*order).collect()
-    plan = got._jdf.queryExecution().sparkPlan().toString()
-    assert ("Broadcast" in plan) == (limit > 0)
+    assert sorted(map(str, got.collect())) == sorted(map(str, current_objects(table).collect()))
+
+
+def test_bytes_are_neither_sorted_nor_aggregated(spark, topic):
+    plan = current_objects(objects(spark, topic))._jdf.queryExecution().sparkPlan().toString()
+    for line in plan.splitlines():
+        assert not (("Aggregate" in line or "Sort " in line) and "content#" in line), line
+    assert "ShuffledHashJoin" in plan
+    listed = list_objects(objects(spark, topic))._jdf.queryExecution().optimizedPlan().toString()
+    assert "unbase64" not in listed
+
+
+def test_size_of_base64_text_is_that_of_its_bytes(spark):
+    texts = ["", "YQ==", "YQ", "YWI=", "YWI", "YWJj", "YWJjZA==", "YWJjZA"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = frame.select("t", decoded_size(F.col("t")), F.octet_length(F.unbase64("t"))).collect()
+    assert all(r[1] == r[2] for r in got), got
+
+
+def test_redirects_stay_within_schemes_and_never_leave_https():
+    import urllib.request
+
+    handler = SafeRedirects(("http", "https"))
+
+    def follows(old, new):
+        return handler.redirect_request(urllib.request.Request(old), None, 302, "", {}, new) is not None
+
+    assert follows("http://a/", "https://b/") and follows("http://a/", "http://b/") and follows("https://a/", "https://b/")
+    assert not follows("https://a/", "http://b/") and not follows("http://a/", "ftp://b/")
+
+
+def test_answers_keep_the_order_of_the_urls():
+    import time
+
+    def get(url):
+        time.sleep(0.02 * (int(url) % 3))
+        return 200, None, url.encode()
+
+    assert [r[2] for r in in_order(get, [str(i) for i in range(20)], 4)] == [str(i).encode() for i in range(20)]
 
 
 def test_listing(spark, topic):

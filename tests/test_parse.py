@@ -156,6 +156,13 @@ def test_json(topic):
     check(topic, cases, "reason")
 
 
+@pytest.mark.parametrize("mib", [20, 40])
+def test_long_fields_are_read(topic, mib):
+    size = mib * 1024 * 1024
+    got = parse_events(topic(event(imageBase64="A" * size))).select("reason", F.length("image_base64")).first()
+    assert tuple(got) == (None, size)
+
+
 def test_last_of_equal_keys_wins(topic):
     check(topic, [('{"eventType":"a","eventType":"b"}', "B")], "event_type")
 
@@ -183,4 +190,4 @@ def test_routes(topic):
 def test_json_is_read_once_however_events_are_filtered(topic):
     frame = data_events(good_events(parse_events(topic("{}"))))
     plan = frame._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("parseJson") == 1
+    assert plan.count("from_json") == 1

@@ -168,21 +168,23 @@ def test_all_tables(spark, feed, warehouse, tmp_path):
 
     warehouse.register_views()
     (tmp_path / "q.sql").write_text(
-        "-- two statements; one comment\nSELECT event_type, COUNT(*) AS n\nFROM processed_events\n"
-        "GROUP BY event_type ORDER BY COUNT(*) DESC;\n"
-        "SELECT SUM(event_count)::bigint AS n FROM event_type_counts_5m WHERE event_type <> ';';\n"
+        "-- two statements; one comment\nSELECT source, max(event_time) AS newest\nFROM processed_events\n"
+        "WHERE payload IS NOT NULL GROUP BY source;\n"
+        "SELECT min(event_count) AS least, sum(event_count) AS n FROM event_type_counts_5m WHERE event_type <> ';';\n"
     )
     first, second = run_sql_file(spark, str(tmp_path / "q.sql"))
-    assert [tuple(r) for r in first.collect()] == [("DATA", 3), ("IMAGE", 2)]
+    assert [r.source for r in first.collect()] == ["unknown"]
     assert second.first().n == 11
     panel = fill_time_macros(
-        "SELECT $__timeGroupAlias(event_time, '1h'), COUNT(*)::bigint AS value, event_type AS metric "
-        "FROM processed_events WHERE $__timeFilter(event_time) GROUP BY 1, 3 ORDER BY 1",
+        "SELECT $__timeGroupAlias(event_time, '30m'), count(DISTINCT id) AS ids "
+        "FROM processed_events WHERE source = 'unknown' AND $__timeFilter(event_time) GROUP BY 1",
         "2024-01-01 00:00:00",
         "2024-01-01 23:59:59",
     )
-    got = comparable(spark.sql(panel)).collect()
-    assert sorted((r.metric, r.value, r.time.hour) for r in got) == [("DATA", 2, 0), ("IMAGE", 2, 0)]
+    got = comparable(warehouse.sql(panel)).collect()
+    assert [(r.ids, r.time.hour, r.time.minute) for r in got] == [(4, 0, 0)]
+    with pytest.raises(ValueError):
+        fill_time_macros(panel, "2024-01-01' OR true --", "2024-01-02")
 
 
 def test_a_batch_that_runs_again_changes_nothing(feed, warehouse, tmp_path):
@@ -253,11 +255,33 @@ def test_snapshots(spark, feed, warehouse, tmp_path):
     assert len(os.listdir(f"{table.root}/snapshot")) == 2
 
 
+def test_a_new_checkpoint_loses_nothing(feed, warehouse, tmp_path):
+    """Batches of a new checkpoint begin at 0 again, below the cut-off of the snapshot."""
+    fill(feed)
+    run_to_end(feed.stream(), warehouse, fetch(), str(tmp_path / "cp1"))
+    bad = sorted(tuple(r) for r in warehouse.quarantine().drop("seen_at").collect())
+    warehouse.compact()
+    for n in (20, 21):
+        feed.put(data(n, n))
+        run_to_end(feed.stream(), warehouse, fetch(), str(tmp_path / "cp2"))
+        assert rows(warehouse)[n] == ("DATA", f'{{"k":{n}}}', None)
+    expected = {**EXPECTED, 20: ("DATA", '{"k":20}', None), 21: ("DATA", '{"k":21}', None)}
+    assert rows(warehouse) == expected
+    warehouse.compact()
+    assert rows(warehouse) == expected and warehouse.events_table._state()[1] == []
+    # What both runs have stored or turned down counts once.
+    keys = [r.object_key for r in warehouse.current_objects().select("object_key").collect()]
+    assert len(keys) == len(set(keys))
+    assert sorted(tuple(r) for r in warehouse.quarantine().drop("seen_at").collect()) == bad
+
+
 def test_an_unfinished_batch_is_not_read(spark, feed, warehouse, tmp_path):
     fill(feed)
     run_to_end(feed.stream(), warehouse, fetch(), str(tmp_path / "cp"))
-    os.remove(f"{warehouse.events_table.batch_path(2)}/_SUCCESS")
-    assert warehouse.events_table.batch_ids() == [0, 1]
+    table = warehouse.events_table
+    run = table.batches()[0][0]
+    os.remove(f"{table.batch_path((run, 2))}/_SUCCESS")
+    assert table.batches() == [(run, 0), (run, 1)]
     assert set(rows(warehouse)) == {1, 2, 3}
 
 
