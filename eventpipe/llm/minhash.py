@@ -11,8 +11,10 @@ Within a bucket every class is paired with the smallest only, so there are at
 most as many pairs as bucket entries. Pairs are confirmed on the full sets,
 and links joined to components. A star alone would miss links between two
 classes that are both unlike its centre, so classes that still share a bucket
-but no component are paired after that, where the distances to the centre
-allow a link at all: by the triangle inequality of the Jaccard distance.
+but no component are paired after that. Such a pair is made only if its
+distances to the centre allow a link by the triangle inequality of the Jaccard
+distance, and if ``BITS`` bits of independent MinHash functions agree as those
+of a link do: a true link fails that with a chance of 3e-7.
 """
 
 from __future__ import annotations
@@ -32,6 +34,9 @@ BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
 BIN_BITS = 7
 SEED = 20_26
+# One bit of each of so many independent MinHash functions, as longs.
+BITS = 2048
+BIT_LONGS = BITS // 64
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -129,6 +134,27 @@ def buckets(own: np.ndarray) -> np.ndarray:
     return h
 
 
+def _bit_functions() -> tuple[np.ndarray, np.ndarray]:
+    random = np.random.default_rng(SEED + 1)
+    return (random.integers(0, 2**64, BITS, dtype=np.uint64) for _ in range(2))
+
+
+_FACTORS, _OFFSETS = _bit_functions()
+_FACTORS |= np.uint64(1)
+
+
+def bits(own: np.ndarray) -> np.ndarray:
+    """One bit of the least value under each function, packed in longs."""
+    least = np.empty(BITS, np.uint64)
+    step = max(1, min(BITS, 4_000_000 // max(len(own), 1)))
+    with np.errstate(over="ignore"):
+        for i in range(0, BITS, step):
+            h = (own[:, None] ^ _OFFSETS[i : i + step]) * _FACTORS[i : i + step]
+            h ^= h >> np.uint64(32)
+            least[i : i + step] = (h * _BASE).min(axis=0)
+    return np.packbits((mix(least) & np.uint64(1)).astype(np.uint8)).view(np.int64)
+
+
 def _set_key(own: np.ndarray) -> tuple[int, int]:
     """128 bits that stand for a set."""
     with np.errstate(over="ignore"):
@@ -164,18 +190,20 @@ def with_sketches(docs: DataFrame, size: int) -> DataFrame:
 
 
 def with_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, shingles) with the full sets."""
+    """(doc_id, shingles, bits) with the full sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in slices(batch.column(1).to_pylist()):
-                sets = pa.array([shingle_set(t, size).view(np.int64) for t in texts], pa.list_(pa.int64()))
+                sets = [shingle_set(t, size) for t in texts]
+                longs = pa.list_(pa.int64())
+                packed = [pa.array([x.view(np.int64) for x in y], longs) for y in (sets, [bits(s) for s in sets])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, len(texts)), sets], names=["doc_id", "shingles"]
+                    [batch.column(0).slice(start, len(texts)), *packed], names=["doc_id", "shingles", "bits"]
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, shingles array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, shingles array<bigint>, bits array<bigint>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
@@ -236,7 +264,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT, size: in
     linked = F.col("shared") * 100 >= F.col("total") * percent
     links = tried.where(linked).select("a", "b").distinct()
     parts = scratch.settle(connected_components(links, scratch), "parts")
-    left = scratch.settle(unlinked_pairs(members, tried, parts, percent), "left")
+    left = scratch.settle(unlinked_pairs(members, tried, parts, sets, percent), "left")
     more = verified(left, sets, percent, scratch, "left").where(linked).select("a", "b").distinct()
     more = scratch.settle(more, "more")
 
@@ -264,11 +292,13 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT, size: in
     )
 
 
-def unlinked_pairs(members: DataFrame, tried: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+def unlinked_pairs(members: DataFrame, tried: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) within a bucket, of two components, that may still be linked.
 
     The distance of two sets is at least the difference of their distances to
     the centre, and at most a limit for a link; their sizes bound it as well.
+    Of the bits of two sets of similarity s, a share of (1 + s) / 2 agrees, with
+    the spread of independent draws; five times the spread is allowed for.
     """
     limit = 1 - percent / 100 + 1e-9
     own = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
@@ -280,7 +310,12 @@ def unlinked_pairs(members: DataFrame, tried: DataFrame, parts: DataFrame, perce
     own = own.join(
         tried.groupBy(F.col("a").alias("centre"), F.col("b").alias("rep")).agg(distance), ["centre", "rep"], "left"
     ).withColumn("d", F.coalesce("d", F.lit(0.0)))
+    longs = [F.col("bits")[i].alias(f"b{i}") for i in range(BIT_LONGS)]
+    own = own.join(sets.select(F.col("doc_id").alias("rep"), *longs), "rep")
     p, q = own.alias("p"), own.alias("q")
+    differ = sum((F.bit_count(F.col(f"p.b{i}").bitwiseXOR(F.col(f"q.b{i}"))) for i in range(BIT_LONGS)), F.lit(0))
+    share = (1 - percent / 100) / 2
+    most = BITS * share + 5 * (BITS * share * (1 - share)) ** 0.5
     may = (
         (F.col("p.bucket") == F.col("q.bucket"))
         & (F.col("p.rep") < F.col("q.rep"))
@@ -288,6 +323,7 @@ def unlinked_pairs(members: DataFrame, tried: DataFrame, parts: DataFrame, perce
         & (F.col("p.rep") != F.col("p.centre"))
         & (F.abs(F.col("p.d") - F.col("q.d")) <= limit)
         & (F.least("p.n", "q.n") * 100 >= F.greatest("p.n", "q.n") * percent)
+        & (differ <= most)
     )
     return p.join(q, may).select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b")).distinct()
 
