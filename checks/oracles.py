@@ -282,11 +282,11 @@ FROM requests WHERE event_type = 'Data' OR image_url LIKE 'https:%'""",
     "stream_processed_events": _rows(f"SELECT {_ROW} FROM processed"),
     "stream_restart": _rows(f"SELECT {_ROW} FROM processed"),
     "fetch_in_tasks": f"""
-SELECT id, CASE WHEN url LIKE 'https:%' THEN 'images/' || strftime(at, '%Y-%m-%d') || '/' || id || '.png' END AS object_key,
+SELECT id, CASE WHEN url LIKE 'https:%' THEN 'images/' || strftime(sent_at, '%Y-%m-%d') || '/' || id || '.png' END AS object_key,
   CASE WHEN url LIKE 'https:%' THEN strlen(url) END::BIGINT AS size,
   CASE WHEN url LIKE 'https:%' THEN NULL WHEN length(url) % 2 = 1 THEN 'fetch_status_404' ELSE 'fetch_failed' END AS reason,
   CASE WHEN url LIKE 'https:%' THEN md5(url) END AS content_md5, 2 AS src_partition, page_id AS src_offset
-FROM (SELECT *, {_uuid("'page-' || page_id::VARCHAR")} AS id, {_START} + to_minutes(page_id) AS at FROM pages)""",
+FROM (SELECT *, {_uuid("'page-' || page_id::VARCHAR")} AS id, {_START} + to_minutes(page_id) AS sent_at FROM pages)""",
     "stream_image_objects": _OBJECTS,
     "stream_quarantine": _QUARANTINE,
 }
