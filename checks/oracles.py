@@ -290,3 +290,5 @@ FROM (SELECT *, {_uuid("'page-' || page_id::VARCHAR")} AS id, {_START} + to_minu
     "stream_image_objects": _OBJECTS,
     "stream_quarantine": _QUARANTINE,
 }
+# The same rows by way of topic files.
+ORACLES["topic_round_trip"] = ORACLES["sent_and_parsed"]

@@ -21,7 +21,7 @@ from eventpipe.plans.backfill import Backfill
 from eventpipe.plans.reconcile import count_image_rows, reconcile_totals, sum_image_counts
 from eventpipe.session import configure, work_dir
 from eventpipe.sources.fetch import fetch_from, fetch_with
-from eventpipe.sources.topic import with_places
+from eventpipe.sources.topic import stream_topic_files, with_places, write_topic_files
 from eventpipe.streaming.jobs import run_to_end
 from eventpipe.streaming.warehouse import COUNT_KEYS, COUNT_ORDER, Warehouse
 
@@ -222,10 +222,23 @@ def rejected_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelopes.rejected(_uploads(spark, sf_dir)).select("id", "reason")
 
 
+def _sent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_places(_envelopes(spark, sf_dir), F.unix_micros("event_time"), partitions=4)
+
+
+def topic_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was sent, written to topic files, read by the file stream and upserted."""
+    path, warehouse = work_dir(spark, "topic"), Warehouse(spark, work_dir(spark, "tables"))
+    write_topic_files(_sent(spark, sf_dir), path)
+    fetch = fetch_from(page_answers(spark, sf_dir))
+    run_to_end(stream_topic_files(spark, path), warehouse, fetch, work_dir(spark, "checkpoint"), counts=False)
+    columns = ["id", "event_type", "event_time", "source", "payload", "image_object_key"]
+    return comparable(warehouse.processed_events().select(*columns))
+
+
 def sent_and_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Producer to table: what was sent, read as topic and upserted."""
-    records = with_places(_envelopes(spark, sf_dir), F.unix_micros("event_time"), partitions=4)
-    b = Backfill(records, fetch_from(page_answers(spark, sf_dir)))
+    b = Backfill(_sent(spark, sf_dir), fetch_from(page_answers(spark, sf_dir)))
     return comparable(b.processed_events().select("id", "event_type", "event_time", "source", "payload", "image_object_key"))
 
 
@@ -339,6 +352,7 @@ QUERIES: dict[str, Query] = {
     "stream_counts_5m": stream_counts,
     "stream_processed_events": stream_rows,
     "stream_image_objects": stream_objects,
+    "topic_round_trip": topic_round_trip,
     "stream_restart": stream_restart,
     "fetch_in_tasks": fetched_in_tasks,
     "stream_quarantine": stream_quarantine,

@@ -10,6 +10,10 @@ from eventpipe.schemas import TOPIC
 DEFAULT_TOPIC = "events"
 DEFAULT_SERVERS = "kafka:9092"
 
+# What one micro-batch takes at most, so that a backlog is no single batch; nothing is dropped by it.
+RECORDS_PER_BATCH = 50_000_000
+FILES_PER_BATCH = 1_000
+
 
 def _broker_records(loaded: DataFrame) -> DataFrame:
     return loaded.select(
@@ -26,7 +30,7 @@ def stream_topic(
     spark: SparkSession,
     servers: str = DEFAULT_SERVERS,
     topic: str = DEFAULT_TOPIC,
-    max_records_per_batch: int | None = None,
+    max_records_per_batch: int | None = RECORDS_PER_BATCH,
     min_partitions: int | None = None,
 ) -> DataFrame:
     """The topic as a stream, from its earliest record on.
@@ -62,7 +66,7 @@ def read_topic(
 
 
 def stream_topic_files(
-    spark: SparkSession, path: str, format: str = "parquet", max_files_per_batch: int | None = None
+    spark: SparkSession, path: str, format: str = "parquet", max_files_per_batch: int | None = FILES_PER_BATCH
 ) -> DataFrame:
     """Files that drop into a folder, with the columns of a topic record."""
     reader = spark.readStream.schema(TOPIC).format(format)
@@ -71,6 +75,11 @@ def stream_topic_files(
     return reader.load(path)
 
 
+def write_topic_files(records: DataFrame, path: str, format: str = "parquet") -> None:
+    """Append records with the columns of a topic to a folder that the file source reads."""
+    records.select(*TOPIC.names).write.mode("append").format(format).save(path)
+
+
 def read_topic_files(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
     return spark.read.schema(TOPIC).format(format).load(path)
 
