@@ -146,7 +146,7 @@ _FACTORS |= np.uint64(1)
 def bits(own: np.ndarray) -> np.ndarray:
     """One bit of the least value under each function, packed in longs."""
     least = np.empty(BITS, np.uint64)
-    step = max(1, min(BITS, 4_000_000 // max(len(own), 1)))
+    step = max(1, min(BITS, 65_536 // max(len(own), 1)))
     with np.errstate(over="ignore"):
         for i in range(0, BITS, step):
             h = (own[:, None] ^ _OFFSETS[i : i + step]) * _FACTORS[i : i + step]
@@ -190,20 +190,33 @@ def with_sketches(docs: DataFrame, size: int) -> DataFrame:
 
 
 def with_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, shingles, bits) with the full sets."""
+    """(doc_id, shingles) with the full sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in slices(batch.column(1).to_pylist()):
-                sets = [shingle_set(t, size) for t in texts]
-                longs = pa.list_(pa.int64())
-                packed = [pa.array([x.view(np.int64) for x in y], longs) for y in (sets, [bits(s) for s in sets])]
+                sets = pa.array([shingle_set(t, size).view(np.int64) for t in texts], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, len(texts)), *packed], names=["doc_id", "shingles", "bits"]
+                    [batch.column(0).slice(start, len(texts)), sets], names=["doc_id", "shingles"]
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, shingles array<bigint>, bits array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, shingles array<bigint>")
+
+
+def with_bits(sets: DataFrame) -> DataFrame:
+    """(doc_id, bits) of full sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                own = batch.column(1)[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, 1), pa.array([bits(own)], pa.list_(pa.int64()))], names=["doc_id", "bits"]
+                )
+
+    kind = sets.schema["doc_id"].dataType.simpleString()
+    return sets.select("doc_id", "shingles").mapInArrow(run, f"doc_id {kind}, bits array<bigint>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
@@ -264,7 +277,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT, size: in
     linked = F.col("shared") * 100 >= F.col("total") * percent
     links = tried.where(linked).select("a", "b").distinct()
     parts = scratch.settle(connected_components(links, scratch), "parts")
-    left = scratch.settle(unlinked_pairs(members, tried, parts, sets, percent), "left")
+    left = scratch.settle(unlinked_pairs(members, tried, parts, sets, percent, scratch), "left")
     more = verified(left, sets, percent, scratch, "left").where(linked).select("a", "b").distinct()
     more = scratch.settle(more, "more")
 
@@ -292,7 +305,9 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT, size: in
     )
 
 
-def unlinked_pairs(members: DataFrame, tried: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def unlinked_pairs(
+    members: DataFrame, tried: DataFrame, parts: DataFrame, sets: DataFrame, percent: int, scratch: Scratch
+) -> DataFrame:
     """Pairs (a, b) within a bucket, of two components, that may still be linked.
 
     The distance of two sets is at least the difference of their distances to
@@ -305,13 +320,15 @@ def unlinked_pairs(members: DataFrame, tried: DataFrame, parts: DataFrame, sets:
     own = own.withColumn("component", F.coalesce("component", "rep"))
     # A bucket whose members are all linked has no such pair.
     torn = own.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    own = own.join(torn.select("bucket"), "bucket", "left_semi")
+    own = scratch.settle(own.join(torn.select("bucket"), "bucket", "left_semi"), "torn")
+    asked = own.select(F.col("rep").alias("doc_id")).distinct()
+    sketched = scratch.settle(with_bits(sets.join(asked, "doc_id", "left_semi")), "bits")
     distance = F.max(1 - F.col("shared") / F.col("total")).alias("d")
     own = own.join(
         tried.groupBy(F.col("a").alias("centre"), F.col("b").alias("rep")).agg(distance), ["centre", "rep"], "left"
     ).withColumn("d", F.coalesce("d", F.lit(0.0)))
     longs = [F.col("bits")[i].alias(f"b{i}") for i in range(BIT_LONGS)]
-    own = own.join(sets.select(F.col("doc_id").alias("rep"), *longs), "rep")
+    own = own.join(sketched.select(F.col("doc_id").alias("rep"), *longs), "rep")
     p, q = own.alias("p"), own.alias("q")
     differ = sum((F.bit_count(F.col(f"p.b{i}").bitwiseXOR(F.col(f"q.b{i}"))) for i in range(BIT_LONGS)), F.lit(0))
     share = (1 - percent / 100) / 2
