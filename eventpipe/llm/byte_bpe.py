@@ -21,13 +21,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-CACHE_WORDS = 600_000
-CACHE_CHUNKS = 300_000
+CACHE_WORDS = 300_000
+CACHE_CHUNKS = 200_000
 CACHE_CHARS = 32_000_000
 # Words of more bytes are merged by a heap: a recursive query keeps all steps of a word.
 QUERY_BYTES = 64
-QUERY_WORDS = 50_000
-SLICE_CHARS = 4_000_000
+QUERY_WORDS = 25_000
+SLICE_CHARS = 2_000_000
 # Below this all versions of Unicode that libraries follow agree on letters, numbers and spaces.
 RARE_FROM = "\u0500"
 RARE = re.compile("[^\x00-\u04ff]")
@@ -123,7 +123,7 @@ class Coder:
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.db = duckdb.connect()
         self.db.execute("SET threads = 1")
-        self.db.execute("SET memory_limit = '384MB'")
+        self.db.execute("SET memory_limit = '256MB'")
         pairs = [
             ((left << 20) | right, rank)
             for token, rank in self.ranks.items()
