@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CACHE_WORDS = 300_000
@@ -256,17 +257,20 @@ def coder(ranks_path: str, pattern: str) -> Coder:
     return _coders[key]
 
 
-def slices(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
-    """(offset, texts) of at most ``SLICE_CHARS`` characters, or of one text; null texts are empty."""
-    start, chars = 0, 0
-    for i, text in enumerate(texts):
-        size = len(text or "")
-        if i > start and chars + size > SLICE_CHARS:
-            yield start, [t or "" for t in texts[start:i]]
-            start, chars = i, 0
-        chars += size
-    if start < len(texts):
-        yield start, [t or "" for t in texts[start:]]
+def slices(texts: pa.Array | list[str | None]) -> Iterator[tuple[int, list[str]]]:
+    """(offset, texts) of at most ``SLICE_CHARS`` bytes, or of one text; null texts are empty.
+
+    Only one slice at a time is held as Python strings.
+    """
+    column = texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(texts, pa.string())
+    start, held = 0, 0
+    for i, size in enumerate(pc.binary_length(column).to_pylist()):
+        if i > start and held + (size or 0) > SLICE_CHARS:
+            yield start, [t or "" for t in column.slice(start, i - start).to_pylist()]
+            start, held = i, 0
+        held += size or 0
+    if start < len(column):
+        yield start, [t or "" for t in column.slice(start).to_pylist()]
 
 
 def encode_decode(docs: DataFrame, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -286,7 +290,7 @@ def encode_decode(docs: DataFrame, ranks_path: str | None = None, pattern: str |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(ranks_path, pattern)
         for batch in batches:
-            for start, texts in slices(batch.column(1).to_pylist()):
+            for start, texts in slices(batch.column(1)):
                 ids = own.encode(texts)
                 decoded = own.decode(ids)
                 yield pa.RecordBatch.from_arrays(

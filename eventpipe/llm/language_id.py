@@ -117,8 +117,7 @@ def text_evidence(docs: DataFrame, model: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_slot = packed.value
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for start, part in slices(texts):
+            for start, part in slices(batch.column("text")):
                 values, letters = [], []
                 for text in part:
                     slots = trigram_slots(text.encode())

@@ -168,7 +168,7 @@ def with_sketches(docs: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in slices(batch.column(1).to_pylist()):
+            for start, texts in slices(batch.column(1)):
                 sets = [shingle_set(t, size) for t in texts]
                 keys = [_set_key(s) if len(s) else (None, None) for s in sets]
                 bands = [buckets(s).view(np.int64) if len(s) else None for s in sets]
@@ -194,7 +194,7 @@ def with_sets(docs: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in slices(batch.column(1).to_pylist()):
+            for start, texts in slices(batch.column(1)):
                 sets = pa.array([shingle_set(t, size).view(np.int64) for t in texts], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(texts)), sets], names=["doc_id", "shingles"]

@@ -42,7 +42,7 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The most frequent words after a space of one partition; lossy counting within ``COUNTED_WORDS``."""
     counts: Counter = Counter()
     for batch in batches:
-        for _, texts in slices(batch.column(0).to_pylist()):
+        for _, texts in slices(batch.column(0)):
             for text in texts:
                 counts.update(space_chunks(text)[1:])
             if len(counts) > COUNTED_WORDS:
@@ -199,7 +199,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
         if table is not None and len(own.tier_one) != len(table.value.words):
             own.pin(table.value.lookup())
         for batch in batches:
-            for start, texts in slices(batch.column(1).to_pylist()):
+            for start, texts in slices(batch.column(1)):
                 n = pa.array(own.counts(texts), pa.int64())
                 size = pc.fill_null(pc.binary_length(batch.column(1).slice(start, len(texts))), 0)
                 yield pa.RecordBatch.from_arrays(

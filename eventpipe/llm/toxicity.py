@@ -242,7 +242,7 @@ def with_features(frame: DataFrame, grammar: Grammar, keep: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(grammar)
         for batch in batches:
-            for start, texts in slices(batch.column(1).to_pylist()):
+            for start, texts in slices(batch.column(1)):
                 values = pa.array([list(reader.features(t)) for t in texts], pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), values], names=[keep, "f"])
 
