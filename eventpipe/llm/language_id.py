@@ -8,6 +8,10 @@ smoothed towards that of its parent domain, which is smoothed towards the
 corpus. The text likelihood is tempered, as trigrams of a text depend on each
 other: it counts as that of ``TEXT_WEIGHT`` independent trigrams at most.
 
+Every language that a row declares is a possible answer, however few rows do.
+The models are sparse and scored in blocks of ``BLOCK_ENTRIES`` numbers, so no
+worker holds more of them at once; a row takes a number for each language.
+
 The trigram models alone are fitted on a sample by hash of about
 ``TRAIN_DOCS`` documents with a declared language. Everything else is a
 grouped aggregation over all rows.
@@ -15,7 +19,7 @@ grouped aggregation over all rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +29,14 @@ from eventpipe.llm.byte_bpe import slices
 from eventpipe.llm.common import Scratch, join_groups
 
 TRAIN_DOCS = 4_000
-MAX_LANGUAGES = 64
 SLOTS = 1 << 16
+# Count of a slot that a language's sample does not have.
+UNSEEN = 0.1
+# Numbers of one block of models, and of one batch of scores.
+BLOCK_ENTRIES = 1 << 21
+BATCH_ENTRIES = 1 << 20
+# Languages summed up side by side, and counted in one go.
+WIDTH = 64
 TEXT_WEIGHT = 60.0
 HOST_WEIGHT = 20.0
 DOMAIN_WEIGHT = 50.0
@@ -79,86 +89,157 @@ def _folding() -> np.ndarray:
 _FOLD = _folding()
 
 
-def train(docs: DataFrame, languages: Sequence[str], share: float) -> np.ndarray:
-    """Log-probabilities of slots by language, from a sample of the documents that declare one."""
-    rows = docs.where(
-        F.col("declared").isin(list(languages)) & (F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
-    )
+def train(docs: DataFrame, languages: Sequence[str], share: float, scratch: Scratch) -> Iterator[tuple]:
+    """Models of the languages in blocks, from a sample of the documents that declare one.
+
+    A block is (starts, which, more, least): ``least`` are the log-probabilities
+    of a slot the language's sample does not have; what a slot that it has gets
+    on top is in ``more``, by slot, with the language's place in ``which``.
+    """
+    rows = docs.where((F.col("declared") != "") & (F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)))
+    index = {name: i for i, name in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = {}
-        for batch in batches:
-            for language, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = counts.setdefault(language, np.zeros(SLOTS, np.int64))
-                own += np.bincount(trigram_slots((text or "").encode()), minlength=SLOTS)
-        names = list(counts)
-        for name in names:
-            used = np.flatnonzero(counts[name])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(used), pa.string()), pa.array(used, pa.int32()), pa.array(counts[name][used])],
-                names=["language", "slot", "n"],
-            )
-
-    # At most languages x slots rows come to the driver: 4 million, mostly far fewer.
-    seen = (
-        rows.select("declared", "text").mapInArrow(count, "language string, slot int, n bigint")
-        .groupBy("language", "slot").agg(F.sum("n").alias("n")).toPandas()
-    )
-    counts = np.full((len(languages), SLOTS), 0.1)
-    index = {name: i for i, name in enumerate(languages)}
-    np.add.at(counts, (seen["language"].map(index).to_numpy(int), seen["slot"].to_numpy(int)), seen["n"].to_numpy(float))
-    return np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
 
+        def counted() -> Iterator[pa.RecordBatch]:
+            for i, own in counts.items():
+                used = np.flatnonzero(own)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(used), i, np.int32)), pa.array(used, pa.int32()), pa.array(own[used])],
+                    names=["language", "slot", "n"],
+                )
+            counts.clear()
 
-def text_evidence(docs: DataFrame, model: np.ndarray) -> DataFrame:
-    """``docs`` (key, declared, suffix, host, text) with log-likelihoods ``ll`` and ``letters`` for the text."""
-    packed = docs.sparkSession.sparkContext.broadcast(model.T.copy())
+        for batch in batches:
+            for start, part in slices(batch.column(1)):
+                for language, text in zip(batch.column(0).slice(start, len(part)).to_pylist(), part):
+                    i = index[language]
+                    if i not in counts and len(counts) == WIDTH:
+                        yield from counted()
+                    own = counts.setdefault(i, np.zeros(SLOTS, np.int64))
+                    own += np.bincount(trigram_slots(text.encode()), minlength=SLOTS)
+        yield from counted()
+
+    seen = rows.select("declared", "text").mapInArrow(count, "language int, slot int, n bigint")
+    seen = scratch.settle(seen.groupBy("language", "slot").agg(F.sum("n").alias("n")), "trigrams")
+    entries = dict.fromkeys(range(len(languages)), 0) | {
+        r["language"]: r["entries"] for r in seen.groupBy("language").agg(F.count("*").alias("entries")).collect()
+    }
+    first, held = 0, 0
+    for i, more in entries.items():
+        if i > first and held + more > BLOCK_ENTRIES:
+            yield _block(seen, first, i)
+            first, held = i, 0
+        held += more
+    yield _block(seen, first, len(languages))
+
+
+def _block(seen: DataFrame, first: int, end: int) -> tuple:
+    """The models of the languages first, ..., end - 1; at most ``BLOCK_ENTRIES`` rows, or one model, come to the driver."""
+    table = seen.where(F.col("language").between(first, end - 1)).toArrow()
+    which, slot, n = (table.column(c).to_numpy() for c in ("language", "slot", "n"))
+    order = np.lexsort((which, slot))
+    which, slot, n = which[order] - first, slot[order], n[order].astype(float)
+    total = np.bincount(which, weights=n, minlength=end - first) + UNSEEN * SLOTS
+    starts = np.searchsorted(slot, np.arange(SLOTS + 1))
+    return starts, which, np.log(n + UNSEEN) - np.log(UNSEEN), np.log(UNSEEN) - np.log(total)
+
+
+def score(model: tuple, used: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Log-likelihoods of a text, given as its slots and their counts, under each model of a block."""
+    starts, which, more, least = model
+    begin, sizes = starts[used], starts[used + 1] - starts[used]
+    at = np.repeat(begin - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+    return np.bincount(which[at], weights=np.repeat(times, sizes) * more[at], minlength=len(least)) + times.sum() * least
+
+
+def text_evidence(docs: DataFrame, blocks: Iterator[tuple], n: int) -> DataFrame:
+    """``docs`` (key, declared, suffix, host, text) with what the text says of the ``n`` languages, and its ``letters``.
+
+    ``ll`` are log-likelihoods, ``q`` the probabilities they give.
+    """
+    packed = [docs.sparkSession.sparkContext.broadcast(block) for block in blocks]
+
+    def models() -> Iterator[tuple]:
+        for block in packed:
+            path = getattr(block, "_path", None)
+            # A value is cached for good, so of several blocks each is read when it is its turn.
+            yield block.value if len(packed) == 1 or path is None else block.load_from_path(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_slot = packed.value
+        step = max(1, BATCH_ENTRIES // n)
         for batch in batches:
             for start, part in slices(batch.column("text")):
-                values, letters = [], []
-                for text in part:
-                    slots = trigram_slots(text.encode())
-                    # As a sum over slots: exact, and bounded for texts of any length.
-                    total = np.bincount(slots, minlength=SLOTS) @ by_slot if len(slots) else np.zeros(by_slot.shape[1])
-                    weight = min(1.0, TEXT_WEIGHT / max(len(slots), 1))
-                    values.append((total * weight).tolist())
-                    letters.append(sum(map(str.isalpha, text)))
-                rest = [batch.column(c).slice(start, len(part)) for c in ("key", "declared", "suffix", "host")]
-                yield pa.RecordBatch.from_arrays(
-                    [*rest, pa.array(values, pa.list_(pa.float64())), pa.array(letters, pa.int64())],
-                    names=["key", "declared", "suffix", "host", "ll", "letters"],
-                )
+                for at in range(0, len(part), step):
+                    texts = part[at : at + step]
+                    slots = []
+                    for text in texts:
+                        # As a sum over slots: exact, and bounded for texts of any length.
+                        times = np.bincount(trigram_slots(text.encode()), minlength=SLOTS)
+                        used = np.flatnonzero(times)
+                        slots.append((used.astype(np.int32), times[used]))
+                    ll, place = np.empty((len(texts), n)), 0
+                    for model in models():
+                        end = place + len(model[-1])
+                        for i, (used, times) in enumerate(slots):
+                            ll[i, place:end] = score(model, used, times)
+                        place = end
+                    ll *= np.array([min(1.0, TEXT_WEIGHT / max(times.sum(), 1)) for _, times in slots])[:, None]
+                    q = np.exp(ll - ll.max(axis=1, keepdims=True))
+                    q /= q.sum(axis=1, keepdims=True)
+                    offsets = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * n)
+                    lists = [pa.ListArray.from_arrays(offsets, pa.array(x.ravel())) for x in (ll, q)]
+                    letters = pa.array([sum(map(str.isalpha, text)) for text in texts], pa.int64())
+                    rest = [batch.column(c).slice(start + at, len(texts)) for c in ("key", "declared", "suffix", "host")]
+                    yield pa.RecordBatch.from_arrays(
+                        [*rest, *lists, letters], names=["key", "declared", "suffix", "host", "ll", "q", "letters"]
+                    )
 
     key = docs.schema["key"].dataType.simpleString()
-    fields = f"key {key}, declared string, suffix string, host string, ll array<double>, letters bigint"
+    fields = f"key {key}, declared string, suffix string, host string, ll array<double>, q array<double>, letters bigint"
     return docs.select("key", "declared", "suffix", "host", "text").mapInArrow(run, fields)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value made once and not once for each element of an array."""
+    return F.transform(F.array(value), lambda v: use(v))[0]
+
+
 def softmax(values: Column) -> Column:
-    top = F.array_max(values)
-    exps = F.transform(values, lambda v: F.exp(v - top))
-    return F.transform(exps, lambda v: v / F.aggregate(exps, F.lit(0.0), lambda a, b: a + b))
+    exps = _let(values, lambda v: _let(F.array_max(v), lambda top: F.transform(v, lambda x: F.exp(x - top))))
+    return _let(exps, lambda e: _let(_total(e), lambda t: F.transform(e, lambda x: x / t)))
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
+
+
+def _constant(values: Sequence[float]) -> Column:
+    """An array of doubles as one literal, whatever its length."""
+    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
 
 
 def _sums(frame: DataFrame, by: Sequence[str], n: int) -> DataFrame:
-    """Rows and summed text posteriors per group: partial sums in each task, so no group is hot."""
-    sums = [F.sum(F.col("q")[i]).alias(f"s{i}") for i in range(n)]
-    grouped = frame.groupBy(*by).agg(F.count("*").alias("rows"), *sums)
-    return grouped.select(*by, "rows", F.array(*[f"s{i}" for i in range(n)]).alias("sums"))
+    """Rows and summed ``q`` per group: partial sums in each task, so no group is hot; ``WIDTH`` languages side by side."""
+    width = min(n, WIDTH)
+    parts = F.transform(F.sequence(F.lit(0), F.lit((n - 1) // width)), lambda b: F.slice("q", b * width + 1, F.lit(width)))
+    cut = frame.select(*by, F.posexplode(parts).alias("block", "part"))
+    own = [F.coalesce(F.sum(F.get("part", F.lit(i))), F.lit(0.0)) for i in range(width)]
+    sums = cut.groupBy(*by, "block").agg(F.count("*").alias("rows"), F.array(*own).alias("own"))
+    blocks = F.sort_array(F.collect_list(F.struct("block", "own")))
+    grouped = sums.groupBy(*by).agg(F.max("rows").alias("rows"), blocks.alias("blocks"))
+    return grouped.select(*by, "rows", F.slice(F.flatten(F.col("blocks.own")), 1, n).alias("sums"))
 
 
 def _plus(sums: Column, prior: Column, weight: float) -> Column:
     """Counts smoothed towards a prior distribution, as a distribution."""
-    total = F.aggregate(sums, F.lit(0.0), lambda a, b: a + b) + weight
-    return F.zip_with(sums, prior, lambda s, p: (s + p * weight) / total)
+    return _let(_total(sums) + weight, lambda total: F.zip_with(sums, prior, lambda s, p: (s + p * weight) / total))
 
 
 def _evidence(frame: DataFrame, column: str, prior: list[float], scratch: Scratch) -> DataFrame:
     """(column, rows, log P(value | language) up to a constant) for every value: posterior over prior, bounded."""
-    at = F.array(*map(F.lit, prior))
+    at = _constant(prior)
     grouped = _sums(frame.where(F.col(column).isNotNull()), [column], len(prior))
     ratio = F.zip_with(_plus(F.col("sums"), at, EVIDENCE_WEIGHT), at, lambda p, q: F.log(p / q))
     bounded = F.transform(ratio, lambda v: F.greatest(F.lit(-MAX_EVIDENCE), F.least(F.lit(MAX_EVIDENCE), v)))
@@ -172,7 +253,9 @@ def identify(rows: DataFrame) -> DataFrame:
     out, and a row without a host has the corpus prior. ``kept`` is false for a
     text without letters and where no language has ``MIN_PROBABILITY``. A null
     or empty text has no letters: its language is what the other evidence
-    says. Ties go to the language more rows declare, then to the smaller name.
+    says. Every declared language is a possible answer; work and rows on disk
+    grow with their number. Ties go to the language more rows declare, then to
+    the smaller name.
     Without any declared language, ``language`` is null and nothing is kept.
     Keys may be null or repeat: every row gets a row. Other columns are ignored.
     """
@@ -180,27 +263,25 @@ def identify(rows: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "language-id")
     docs = rows.select("key", "text", F.lower(F.trim("declared")).alias("declared"), "suffix", "host")
     declared = docs.groupBy("declared").agg(F.count("*").alias("rows"))
-    top = declared.where("declared <> ''").orderBy(F.desc("rows"), "declared").limit(MAX_LANGUAGES).collect()
+    top = declared.where("declared <> ''").orderBy(F.desc("rows"), "declared").collect()
     languages = [r["declared"] for r in top]
     if not languages:
         return rows.select(
             "key", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("probability"), F.lit(False).alias("kept")
         )
     share = min(1.0, TRAIN_DOCS / max(sum(r["rows"] for r in top), 1))
-    found = text_evidence(docs, train(docs, languages, share))
-    found = scratch.settle(found.withColumn("q", softmax(F.col("ll"))), "text")
-
     n = len(languages)
-    whole = found.agg(F.count("*"), *[F.sum(F.col("q")[i]) for i in range(n)]).first()
-    prior = [((whole[i + 1] or 0.0) + 1.0) / ((whole[0] or 0) + n) for i in range(n)]
-    at = F.array(*map(F.lit, prior))
+    found = scratch.settle(text_evidence(docs, train(docs, languages, share, scratch), n), "text")
+
+    whole = _sums(found, [], n).first()
+    prior = [(s + 1.0) / (whole["rows"] + n) for s in whole["sums"]]
+    at = _constant(prior)
     hosts = scratch.settle(
         _sums(found.where("host IS NOT NULL"), ["host"], n).withColumn("parent", parent_of(F.col("host"))), "hosts"
     )
-    own = [F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(n)]
-    parents = hosts.groupBy("parent").agg(F.count("*").alias("hosts"), *own)
-    domain = _plus(F.array(*[f"s{i}" for i in range(n)]), at, DOMAIN_WEIGHT)
-    parents = scratch.settle(parents.select("parent", "hosts", domain.alias("of_parent")), "parents")
+    parents = _sums(hosts.select("parent", F.col("sums").alias("q")), ["parent"], n)
+    domain = _plus(F.col("sums"), at, DOMAIN_WEIGHT)
+    parents = scratch.settle(parents.select("parent", F.col("rows").alias("hosts"), domain.alias("of_parent")), "parents")
     priors = join_groups(hosts, parents, ["parent"], "hosts", ["host"]).select(
         "host", "rows", F.transform(_plus(F.col("sums"), F.col("of_parent"), HOST_WEIGHT), lambda v: F.log(v)).alias("of_host")
     )
@@ -209,8 +290,8 @@ def identify(rows: DataFrame) -> DataFrame:
         groups = _evidence(found, column, prior, scratch)
         joined = join_groups(joined.drop("rows"), groups, [column], "rows", ["key", "letters"], "left")
 
-    nothing = F.array(*[F.lit(0.0)] * n)
-    total = F.coalesce("of_host", F.array(*[F.log(F.lit(p)) for p in prior]))
+    nothing = F.array_repeat(F.lit(0.0), n)
+    total = F.coalesce("of_host", _constant(np.log(prior)))
     for column in ("ll", "of_declared", "of_suffix"):
         total = F.zip_with(total, F.coalesce(column, nothing), lambda a, b: a + b)
     fused = joined.select("key", "letters", softmax(total).alias("p"))

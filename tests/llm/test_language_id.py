@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from eventpipe.llm import language_id
 from eventpipe.llm.language_id import host_of, identify, markup_language, parent_of, suffix_of, trigram_slots
 
 KIND = "key bigint, text string, declared string, suffix string, host string"
@@ -81,3 +82,27 @@ def test_evidence_from_pages(spark):
 def test_slots_fold_case_and_signs():
     assert (trigram_slots(b"Ab  c!!d") == trigram_slots(b"ab c d")).all()
     assert not len(trigram_slots(b"ab"))
+
+
+def many_languages(n):
+    """Rows of ``n`` languages, two to a host; the k-th is declared by fewer rows than those before it."""
+    r = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [["".join(r.choice(letters) for _ in range(6)) for _ in range(8)] for _ in range(n)]
+    of = [k for k in range(n) for _ in range(4 + (n - k) // 20)]
+    return [(i, " ".join(r.choice(words[k]) for _ in range(40)), f"l{k:03}", None, f"h{k // 2}.site") for i, k in enumerate(of)]
+
+
+def test_every_declared_language_is_an_answer(spark):
+    given = many_languages(70)
+    got = run(spark, given)
+    assert [(got[i].language, got[i].kept) for i, *_ in given] == [(declared, True) for _, _, declared, *_ in given]
+
+
+def test_blocks_of_languages_make_no_difference(spark, monkeypatch):
+    given = many_languages(6)
+    once = run(spark, given)
+    for name, value in (("BLOCK_ENTRIES", 150), ("BATCH_ENTRIES", 7), ("WIDTH", 4)):
+        monkeypatch.setattr(language_id, name, value)
+    blocks = run(spark, given)
+    assert all(blocks[i].language == r.language and abs(blocks[i].probability - r.probability) < 1e-9 for i, r in once.items())
