@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventpipe.llm.byte_bpe import encode_decode
 from eventpipe.llm.common import Scratch
-from eventpipe.llm.decontaminate import contaminated
+from eventpipe.llm.decontaminate import leaking_rows
 from eventpipe.llm.language_id import document_evidence, identify
 from eventpipe.llm.line_dedup import dedup_lines
 from eventpipe.llm.minhash import near_duplicates
@@ -63,11 +63,12 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
+    """Drops the rows whose text holds a benchmark item; others of the same doc_id, or without one too, stay."""
     scratch = Scratch(spark, "pipeline-leaks")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaked = contaminated(docs, items).select("doc_id").distinct()
-    return _without(docs, leaked, docs["doc_id"].eqNullSafe(F.col("rejected.doc_id")), scratch)
+    leaked = leaking_rows(docs, items).select("doc_id", "text_hash").distinct()
+    on = docs["doc_id"].eqNullSafe(F.col("rejected.doc_id")) & (F.xxhash64(docs["text"]) == F.col("rejected.text_hash"))
+    return _without(docs, leaked, on, scratch)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

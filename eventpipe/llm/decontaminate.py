@@ -89,6 +89,20 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = CONTAINMENT_P
     null, and so is an item without id. Either table may be empty: then nothing leaks. Other columns are
     ignored.
     """
+    leaks = leaking_rows(docs, items, percent)
+    return (
+        leaks.groupBy("doc_id", "item_id", "n_items", "n_item_shingles")
+        .agg(F.max("n_shared").alias("n_shared"))
+        .withColumn("containment", F.col("n_shared") / F.col("n_item_shingles"))
+    )
+
+
+def leaking_rows(docs: DataFrame, items: DataFrame, percent: int = CONTAINMENT_PERCENT) -> DataFrame:
+    """(doc_id, text_hash, item_id, n_items, n_item_shingles, n_shared): the leaks of each text of a doc_id.
+
+    ``text_hash`` is ``xxhash64`` of the text; it tells rows apart that share a
+    doc_id, or have none.
+    """
     scratch = Scratch(docs.sparkSession, "decontaminate")
     classes = scratch.settle(item_classes(items), "items")
     slots = classes.select(F.explode("shingles").alias("h")).select(slot(F.col("h")).alias("slot")).distinct()
@@ -119,14 +133,9 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = CONTAINMENT_P
     asked = scratch.settle(asked.join(classes.select("item", "item_id", "n_items", "size", "shingles"), "item"), "asked")
     shared = F.size(F.array_intersect("shingles", "held"))
     counted = join_groups(paired, asked, ["item"], "asked", ["doc_id", "text_hash"]).select(
-        "doc_id", "item_id", "n_items", F.col("size").alias("n_item_shingles"), shared.alias("n_shared")
-    )
-    leaks = counted.where(F.col("n_shared") * 100 >= F.col("n_item_shingles") * percent)
-    return (
-        leaks.groupBy("doc_id", "item_id", "n_items", "n_item_shingles")
-        .agg(F.max("n_shared").alias("n_shared"))
-        .withColumn("containment", F.col("n_shared") / F.col("n_item_shingles"))
+        "doc_id", "text_hash", "item_id", "n_items", F.col("size").alias("n_item_shingles"), shared.alias("n_shared")
     )
+    return counted.where(F.col("n_shared") * 100 >= F.col("n_item_shingles") * percent)
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,3 +53,14 @@ def test_an_empty_corpus(spark, folder):
     docs = spark.read.parquet(f"{folder[0]}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder[0]).count() == 0, name
+
+
+def test_a_leak_takes_no_clean_row_of_its_id_along(spark, folder, tmp_path):
+    r = random.Random(10)
+    item, clean = text(r, 30), [text(r) for _ in range(3)]
+    held = f"{text(r)} {item}"
+    docs = [(None, clean[0]), (None, held), (7, clean[1]), (7, held), (7, held), (8, clean[2]), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in docs], KIND)
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()
+    assert {(row.doc_id, row.text) for row in got} == {(None, clean[0]), (7, clean[1]), (8, clean[2]), (None, None)}
