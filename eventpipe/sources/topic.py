@@ -10,7 +10,9 @@ from eventpipe.schemas import TOPIC
 DEFAULT_TOPIC = "events"
 DEFAULT_SERVERS = "kafka:9092"
 
-# What one micro-batch takes at most, so that a backlog is no single batch; nothing is dropped by it.
+# What one micro-batch takes at most, so that a backlog is no single batch. Every row is read, but window counts of a
+# stream depend on it: the watermark moves between the batches of a longer backlog, so rows of later batches whose event
+# time lies more than the lateness behind it are not counted. Backfill.closed_counts counts a backlog whole.
 RECORDS_PER_BATCH = 50_000_000
 FILES_PER_BATCH = 1_000
 
