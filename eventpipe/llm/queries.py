@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventpipe.llm import byte_bpe, chat_format, decontaminate, language_id, line_dedup, minhash, token_counts, topk, toxicity, warc
+from eventpipe.llm import byte_bpe, chat_format, decontaminate, language_id, line_dedup, minhash, token_counts, topk, toxicity, turn_repair, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_language_id": language_id.op10_language_id,
+    "op11_structure_repair": turn_repair.op11_structure_repair,
     "language_id_pages": language_id.language_id_pages,
 }
 
@@ -24,4 +25,5 @@ ORACLES = {
     "op4_warc": warc.ORACLE,
     "op5_topk": topk.ORACLE,
     "op9_decontaminate": decontaminate.ORACLE,
+    "op11_structure_repair": turn_repair.ORACLE,
 }
