@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventpipe.llm import byte_bpe, chat_format, collocations, decontaminate, language_id, line_dedup, minhash, token_counts, topk, toxicity, turn_repair, warc
+from eventpipe.llm import byte_bpe, chat_format, collocations, decontaminate, language_id, license_scan, line_dedup, minhash, token_counts, topk, toxicity, turn_repair, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_language_id": language_id.op10_language_id,
     "op11_structure_repair": turn_repair.op11_structure_repair,
+    "op12_license_scan": license_scan.op12_license_scan,
     "op13_collocations": collocations.op13_collocations,
     "language_id_pages": language_id.language_id_pages,
 }
@@ -27,5 +28,6 @@ ORACLES = {
     "op5_topk": topk.ORACLE,
     "op9_decontaminate": decontaminate.ORACLE,
     "op11_structure_repair": turn_repair.ORACLE,
+    "op12_license_scan": license_scan.ORACLE,
     "op13_collocations": collocations.ORACLE,
 }
