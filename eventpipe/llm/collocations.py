@@ -9,12 +9,13 @@ phrase that is rarer than ``support / shards`` in each shard is rarer than
 ``support`` altogether, so only phrases that reach this lowered support in some
 shard can be candidates, and of these only such whose most possible total does:
 a shard that does not report a phrase holds it ``local - 1`` times at most.
-Shards are mined completely, level by level: a phrase of three words is looked
-at where both its pairs may be candidates. Mining goes by 64-bit keys; two
-phrases that share one make a candidate too many, never one too few.
+Shards are mined completely, level by level: first words, then pairs of words
+that may be frequent, then longer phrases whose two shorter ones may be. Mining
+goes by 64-bit keys; two phrases that share one make a candidate too many, never
+one too few.
 
-**Counting.** Candidates and all words are counted anew over all texts, word by
-word as they stand, and the support is applied to these counts.
+**Counting.** Candidates are counted anew over all texts, word by word as they
+stand, and the support is applied to these counts.
 
 What a level has found is known to the next pass as a bitmap of fixed size. The
 more candidates there are, the more places of it are set and the less it spares;
@@ -36,8 +37,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from eventpipe.llm.common import Scratch, join_groups
 
 SUPPORT, LONGEST, LEADING = 10, 3, 2000
-# The local support is a third of what it is without shards, rounded up; with as many shards as support it would be one.
-SHARDS = 4
+# The more shards, the lower the local support and the less it spares: with as many shards as support it would be one.
+SHARDS = 2
 # A longer candidate with so many hundredths of a phrase's places takes its place.
 SWALLOWED = 50
 NO_LANGUAGE = "und"
@@ -170,16 +171,15 @@ def _miner(size: int, shards: int, below) -> Callable[[Iterator[pa.RecordBatch]]
 
 
 def _counter(longest: int, bitmaps: dict) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(lang, words, phrase, n): all words, and the phrases whose keys are marked."""
+    """(lang, words, phrase, n) of the phrases whose keys are marked; with no words, the number of all words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = {size: np.frombuffer(shared.value, np.uint64) for size, shared in bitmaps.items()}
         for lang, text in _slices(batches):
             codes, words, _ = found = words_of(text)
-            for size in range(1, longest + 1):
-                if size == 1:
-                    each, counts = np.unique(codes, return_counts=True)
-                    phrases = words.take(pa.array(each))
+            for size in range(longest + 1):
+                if size == 0:
+                    phrases, counts = pa.array([b""]), np.array([len(codes)])
                 else:
                     places, keys = phrase_keys(found, lang, size)
                     places = places[_marked(marks[size], keys)]
@@ -220,16 +220,19 @@ def mined_keys(texts: DataFrame, size: int, support: int, shards: int, below) ->
 
 
 def phrase_counts(docs: DataFrame, scratch: Scratch, support: int = SUPPORT, longest: int = LONGEST, shards: int = SHARDS) -> DataFrame:
-    """(lang, words, phrase, f): every word, and every phrase of 2 to ``longest`` words that occurs ``support`` times."""
+    """(lang, words, phrase, f) of every phrase of 1 to ``longest`` words that occurs ``support`` times.
+
+    A row of no words for each language says how many words it has.
+    """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     bitmaps: dict[int, object] = {}
-    for size in range(2, longest + 1):
+    for size in range(1, longest + 1):
         keys = mined_keys(texts, size, support, shards, bitmaps.get(size - 1))
         bitmaps[size] = _bitmap(spark, keys)
     counted = texts.mapInArrow(_counter(longest, bitmaps), "lang string, words int, phrase string, n long")
     exact = counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))
-    return scratch.settle(exact.where((F.col("words") == 1) | (F.col("f") >= support)), "counts")
+    return scratch.settle(exact.where((F.col("words") == 0) | (F.col("f") >= support)), "counts")
 
 
 def collocations(
@@ -249,8 +252,8 @@ def collocations(
     table, or one without frequent phrases, gives an empty table.
     """
     counts = phrase_counts(docs, scratch, support, longest, shards)
-    totals = counts.where("words = 1").groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = counts.where(F.col("f") >= support)
+    totals = counts.where("words = 0").select("lang", F.col("f").alias("n"))
+    frequent = counts.where("words > 0")
     candidates = frequent.where("words > 1").select("lang", "words", "phrase", F.col("f").alias("a"), F.split("phrase", " ").alias("each"))
     text_of = lambda begin, length: F.array_join(F.slice("each", begin, length), " ")
     cuts = candidates.select("lang", "phrase", "a", "each", "words", F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("cut")).select(
