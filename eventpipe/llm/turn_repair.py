@@ -17,8 +17,8 @@ A conversation may hold any number of rows. It is cut into blocks of
 ``BLOCK_ROWS``, each aligned by itself, from every state the grammar can be in
 to every one it can leave in. Audits of a block end with a row's letter, so none
 is the beginning of another, and the least audit of a conversation is made of
-least audits of its blocks. Only these, 32 rows in one, meet in the task that
-puts a conversation together. The texts follow the edits by a join on the place
+least audits of its blocks. Blocks are aligned by all tasks alike; only their
+audits, 32 rows in one, meet in the task that puts a conversation together. The texts follow the edits by a join on the place
 of a row.
 """
 
@@ -48,6 +48,9 @@ ENDING = {NOTHING: "", SYSTEM: "II", ASKED: "I", ANSWERED: ""}
 PROBE_FATES = 20
 
 
+Ways = list[tuple[str, str, int, str]]
+
+
 class Repair(NamedTuple):
     """``audits``: a row for each conversation. ``turns``: (conv_id, place, role, text), repaired, places from 0."""
 
@@ -128,12 +131,10 @@ def _target(start: str, end: str, m: int) -> str | None:
 
 
 @lru_cache(maxsize=CACHED_BLOCKS)
-def transitions(kinds: str, marks: str) -> dict[str, list[tuple[str, int, str]]]:
-    """For each state before a block: (state after it, cost, audit), the best for each."""
-    return {
-        start: [(end, *best) for end in (NOTHING, SYSTEM, ASKED, ANSWERED) if (best := _best(kinds, marks, start, end))]
-        for start in (NOTHING, SYSTEM, ASKED, ANSWERED)
-    }
+def transitions(kinds: str, marks: str) -> Ways:
+    """(state before a block, state after it, cost, audit): the best for each pair of states."""
+    states = (NOTHING, SYSTEM, ASKED, ANSWERED)
+    return [(start, end, *best) for start in states for end in states if (best := _best(kinds, marks, start, end))]
 
 
 def _best(kinds: str, marks: str, start: str, end: str) -> tuple[int, str] | None:
@@ -171,16 +172,17 @@ class Folded:
         self.counts = {BLANK: 0, REPEAT: 0, SHORT: 0}
         self.illegal, self.last = 0, ""
 
-    def add(self, first: int, kinds: str, marks: str) -> None:
+    def add(self, first: int, kinds: str, marks: str, ways: Ways) -> None:
+        """One more block; ``ways`` are those of ``transitions``."""
         for mark in self.counts:
             self.counts[mark] += marks.count(mark)
         joined = self.last + kinds
         self.illegal += sum(joined[i : i + 2] not in ("su", "ua", "au") for i in range(len(joined) - 1))
         self.last = kinds[-1]
         found: dict[str, tuple[int, int, str, str]] = {}
-        table = transitions(kinds, marks)
-        for start, (cost, rank) in self.ways.items():
-            for end, more, audit in table[start]:
+        for start, end, more, audit in ways:
+            if start in self.ways:
+                cost, rank = self.ways[start]
                 way = (cost + more, rank, audit, start)
                 if end not in found or way < found[end]:
                     found[end] = way
@@ -212,6 +214,20 @@ def _edits(blocks: list[tuple[int, str]]) -> Iterator[tuple[int, str | None, int
             row += letter != "I"
 
 
+_WAY = pa.struct([("before", pa.string()), ("after", pa.string()), ("cost", pa.int64()), ("audit", pa.string())])
+
+
+def _align_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks and the ways through them; every block by itself."""
+    for batch in batches:
+        # In pieces: a block of ways is some kilobytes.
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            pairs = zip(part.column("kinds").to_pylist(), part.column("marks").to_pylist(), strict=True)
+            ways = [[dict(zip(("before", "after", "cost", "audit"), way, strict=True)) for way in transitions(*pair)] for pair in pairs]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ways, pa.list_(_WAY))], names=[*part.schema.names, "ways"])
+
+
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks sorted by conversation and place to audits and edits; edits leave in pieces, one for each block."""
     now, state = None, None
@@ -253,7 +269,7 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if now is not None:
                     yield from close()
                 now, state = (block["conv_id"],), Folded()
-            state.add(block["first"], block["kinds"], block["marks"])
+            state.add(block["first"], block["kinds"], block["marks"], [tuple(way.values()) for way in block["ways"]])
     if now is not None:
         yield from close()
         yield from flush()
@@ -297,8 +313,12 @@ def repair(rows: DataFrame, scratch: Scratch) -> Repair:
         firsts.select("conv_id", "pos", F.lit(None).cast("string").alias("kind"), F.lit(None).cast("string").alias("mark"))
     )
     # A row meets the note that it is the first of its kind: at most twice BLOCK_ROWS in a group.
+    # Rows are few bytes and much work: by a stated number of partitions, which is not lowered for lack of bytes.
+    tasks = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = (
-        here.groupBy("conv_id", F.expr(f"pos div {BLOCK_ROWS}").alias("block"))
+        here.withColumn("block", F.expr(f"pos div {BLOCK_ROWS}"))
+        .repartition(tasks, "conv_id", "block")
+        .groupBy("conv_id", "block")
         .agg(
             F.array_sort(F.collect_list(F.when(F.col("kind").isNotNull(), F.struct("pos", "kind", "mark")))).alias("rows"),
             F.collect_list(F.when(F.col("kind").isNull(), F.col("pos"))).alias("firsts"),
@@ -317,8 +337,13 @@ def repair(rows: DataFrame, scratch: Scratch) -> Repair:
         )
     )
     kind = rows.schema["conv_id"].dataType.simpleString()
+    aligned = blocks.mapInArrow(
+        _align_blocks,
+        f"conv_id {kind}, first long, kinds string, marks string, "
+        "ways array<struct<before: string, after: string, cost: long, audit: string>>",
+    )
     folded = scratch.settle(
-        blocks.repartition("conv_id")
+        aligned.repartition("conv_id")
         .sortWithinPartitions("conv_id", "first")
         .mapInArrow(
             _fold,
