@@ -135,6 +135,19 @@ closed AS (
   WHERE window_end + INTERVAL '10 seconds' <= (SELECT max(event_time) FROM good)
 )"""
 
+# The topic in four deals; the watermark of a deal is ten seconds behind the newest event of those before it.
+DEALT = f"""
+dealt AS (
+  SELECT *, least(3, greatest(0, floor(epoch(inserted_at - {_START}) / 864000)) + (src_offset % 7 = 3)::INT)::INT AS deal,
+    time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes' AS window_end
+  FROM good
+),
+marked AS (
+  SELECT d.*, (SELECT date_trunc('milliseconds', max(o.newest)) - INTERVAL '10 seconds'
+    FROM (SELECT deal, max(event_time) AS newest FROM dealt GROUP BY deal) o WHERE o.deal < d.deal) AS watermark
+  FROM dealt d
+)"""
+
 REQUESTS = f"""
 requests AS (
   SELECT {_uuid("'request-' || event_id::VARCHAR")} AS id, ts AS sent_at,
@@ -287,6 +300,19 @@ SELECT id, CASE WHEN url LIKE 'https:%' THEN 'images/' || strftime(sent_at, '%Y-
   CASE WHEN url LIKE 'https:%' THEN NULL WHEN length(url) % 2 = 1 THEN 'fetch_status_404' ELSE 'fetch_failed' END AS reason,
   CASE WHEN url LIKE 'https:%' THEN md5(url) END AS content_md5, 2 AS src_partition, page_id AS src_offset
 FROM (SELECT *, {_uuid("'page-' || page_id::VARCHAR")} AS id, {_START} + to_minutes(page_id) AS sent_at FROM pages)""",
+    "stream_late_rows": _with(
+        "SELECT id, event_type, event_time, source, window_end - INTERVAL '5 minutes' AS window_start, window_end, watermark, "
+        "src_partition, src_offset FROM marked WHERE window_end <= watermark",
+        GOOD, DEALT,
+    ),
+    "stream_counts_late": _with(
+        "SELECT window_end - INTERVAL '5 minutes' AS window_start, window_end, event_type, count(*) AS event_count "
+        "FROM marked WHERE watermark IS NULL OR window_end > watermark GROUP BY window_end, event_type "
+        "HAVING window_end + INTERVAL '10 seconds' <= (SELECT max(event_time) FROM good)",
+        GOOD, DEALT,
+    ),
+    # What an id is and when it came is all that counts; ids made of places name the new partition.
+    "moved_partitions": _rows(f"SELECT {_ROW}, inserted_at FROM processed").replace("'events:0:'", "'events:1:'"),
     "stream_image_objects": _OBJECTS,
     "stream_quarantine": _QUARANTINE,
 }

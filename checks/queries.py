@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from checks.topic import event_id, minutes_after_start, page_answers, table, topic_records
+from checks.topic import START, event_id, minutes_after_start, page_answers, table, topic_records
 from eventpipe.operators import envelopes, objects, routing
 from eventpipe.operators.counts import count_by_window
 from eventpipe.operators.images import resolve_linked, skipped_images
@@ -22,7 +22,7 @@ from eventpipe.plans.reconcile import count_image_rows, reconcile_totals, sum_im
 from eventpipe.session import configure, work_dir
 from eventpipe.sources.fetch import fetch_from, fetch_with
 from eventpipe.sources.topic import stream_topic_files, with_places, write_topic_files
-from eventpipe.streaming.jobs import run_to_end
+from eventpipe.streaming.jobs import run_to_end, start_counts_and_late
 from eventpipe.streaming.warehouse import COUNT_KEYS, COUNT_ORDER, Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -262,7 +262,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     warehouse = Warehouse(spark, work_dir(spark, "tables"))
     b = _backfill(spark, sf_dir)
-    warehouse.events_table.write(b.changes().where(F.col("source") != "retry"), 7, "an-older-run")
+    warehouse.events_table.write(b.changes().where(F.col("source") != "retry"), 7)
     warehouse.compact()
     columns = [c for c in ROW_COLUMNS if c != "inserted_at"]
     return comparable(_run(spark, sf_dir, warehouse).processed_events().select(*columns))
@@ -311,6 +311,54 @@ def compacted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(rows.current().select(*ROW_COLUMNS))
 
 
+DEALS = 4
+
+
+def _dealt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic with ``deal``: by ten days of record time, every seventh record one deal later."""
+    days = F.floor((F.unix_timestamp("timestamp") - F.unix_timestamp(F.lit(START).cast("timestamp"))) / 864000)
+    late = (F.col("offset") % 7 == 3).cast("int")
+    deal = F.least(F.lit(DEALS - 1), F.greatest(F.lit(0), days) + late)
+    return topic_records(spark, sf_dir).withColumn("deal", deal)
+
+
+def _counted_by_state(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The topic in four deals, each a file dump that one run of the query reads to its end."""
+    configure(spark)
+    path, checkpoint = work_dir(spark, "topic"), work_dir(spark, "checkpoint")
+    warehouse = Warehouse(spark, work_dir(spark, "tables"))
+    dealt = _dealt(spark, sf_dir)
+    for deal in range(DEALS):
+        write_topic_files(dealt.where(F.col("deal") == deal), path)
+        records = stream_topic_files(spark, path, max_files_per_batch=None)
+        start_counts_and_late(records, warehouse, checkpoint, {"availableNow": True}).awaitTermination()
+    return warehouse
+
+
+def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    late = _counted_by_state(spark, sf_dir).late_events()
+    return comparable(late.select("id", "event_type", "event_time", "source", "window_start", "window_end", "watermark", "src_partition", "src_offset"))
+
+
+def counts_without_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(_counted_by_state(spark, sf_dir).event_type_counts().drop("updated_at"))
+
+
+def moved_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that move to a lower partition with lower offsets: a snapshot of the first deliveries, then the repeats."""
+    configure(spark)
+    again = (F.col("partition") == 0) & (F.col("offset") % 2 == 1)
+    moved = topic_records(spark, sf_dir).withColumn("partition", F.when(again, 0).otherwise(F.col("partition") + 1))
+    moved = moved.withColumn("offset", F.when(again, F.col("offset") - 2 * 10**9).otherwise(F.col("offset")))
+    b = Backfill(moved, fetch_from(page_answers(spark, sf_dir)))
+    rows = Warehouse(spark, work_dir(spark, "tables")).events_table
+    changes = b.changes()
+    rows.write(changes.where(F.col("src_partition") > 0), 0)
+    rows.compact()
+    rows.write(changes.where(F.col("src_partition") == 0), 1)
+    return comparable(rows.current().select(*ROW_COLUMNS))
+
+
 QUERIES: dict[str, Query] = {
     "parse_events": _batch(parsed_events),
     "parse_quarantine": _batch(lambda b: quarantined(bad_records(b.parsed))),
@@ -356,4 +404,7 @@ QUERIES: dict[str, Query] = {
     "stream_restart": stream_restart,
     "fetch_in_tasks": fetched_in_tasks,
     "stream_quarantine": stream_quarantine,
+    "stream_late_rows": late_rows,
+    "stream_counts_late": counts_without_late_rows,
+    "moved_partitions": moved_partitions,
 }

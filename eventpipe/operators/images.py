@@ -15,7 +15,7 @@ from eventpipe.functions.images import (
 )
 from eventpipe.functions.json_fields import not_blank
 from eventpipe.operators.routing import IMAGE
-from eventpipe.schemas import IMAGE_OBJECTS
+from eventpipe.schemas import IMAGE_OBJECTS, PLACE
 
 BASE64, URL, NOTHING = "base64", "url", "none"
 
@@ -98,10 +98,8 @@ def failed_records(parsed: DataFrame) -> DataFrame:
     inline = (F.col("event_type") == IMAGE) & not_blank(F.col("image_base64"))
     broken = F.when(inline & ~is_strict_base64(F.col("image_base64")), BAD_BASE64)
     reasons = parsed.withColumn("reason", F.coalesce("reason", broken))
-    return reasons.where(F.col("reason").isNotNull()).select("value", "reason", "src_partition", "src_offset")
+    return reasons.where(F.col("reason").isNotNull()).select("value", "reason", *PLACE)
 
 
 def failed_images(resolved: DataFrame) -> DataFrame:
-    return resolved.where(F.col("reason").isNotNull()).select(
-        "value", "reason", "src_partition", "src_offset"
-    )
+    return resolved.where(F.col("reason").isNotNull()).select("value", "reason", *PLACE)

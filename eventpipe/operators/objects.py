@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from eventpipe.operators.upsert import latest_per_key
-
-ORDER = ("src_partition", "src_offset")
+from eventpipe.schemas import PLACE
 
 
 def object_index(objects: DataFrame) -> DataFrame:
     """One row per object key, the last put winning; no bytes are read."""
     narrow = objects.select(
-        "object_key", "content_type", "size", "date", "id", "src_partition", "src_offset"
+        "object_key", "content_type", "size", "date", "id", *PLACE
     )
-    return latest_per_key(narrow, ["object_key"], ORDER)
+    return latest_per_key(narrow, ["object_key"], PLACE)
 
 
 def current_objects(objects: DataFrame) -> DataFrame:
@@ -26,7 +25,7 @@ def current_objects(objects: DataFrame) -> DataFrame:
     rows carry them.
     """
     stored = [c for c in ("run", "batch_id") if c in objects.columns]
-    place = F.struct(*ORDER, *stored)
+    place = F.struct(*PLACE, *stored)
     last = objects.groupBy("object_key").agg(F.max(place).alias("last")).select(F.col("object_key").alias("key"), "last")
     wins = (objects["object_key"] == F.col("key")) & (place == F.col("last"))
     return objects.join(last.hint("shuffle_hash"), wins, "left_semi").drop(*stored)

@@ -16,6 +16,7 @@ from eventpipe.functions.json_fields import (
     text_at,
     text_or_default,
 )
+from eventpipe.schemas import PLACE
 
 # What an event without the key gets.
 DEFAULT_TYPE = "UNKNOWN"
@@ -77,6 +78,7 @@ def parse_events(records: DataFrame) -> DataFrame:
         .when(F.col("event_time").isNull(), F.lit(BAD_TIME))
         .alias("reason"),
         *kept,
+        F.col("timestamp").alias("src_time"),
         F.col("partition").alias("src_partition"),
         F.col("offset").alias("src_offset"),
     )
@@ -88,9 +90,7 @@ def good_events(parsed: DataFrame) -> DataFrame:
 
 def bad_records(parsed: DataFrame) -> DataFrame:
     """Records to quarantine, whole, with the reason."""
-    return parsed.where(F.col("reason").isNotNull()).select(
-        "value", "reason", "src_partition", "src_offset"
-    )
+    return parsed.where(F.col("reason").isNotNull()).select("value", "reason", *PLACE)
 
 
 def require_good(parsed: DataFrame) -> DataFrame:

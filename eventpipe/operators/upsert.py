@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from eventpipe.functions.images import effective_content_type, is_strict_base64, object_key
 from eventpipe.operators.images import BASE64, with_kind
 from eventpipe.operators.routing import DATA, IMAGE
+from eventpipe.schemas import PLACE
 
 
 def latest_per_key(
@@ -65,8 +66,7 @@ def data_changes(events: DataFrame) -> DataFrame:
         "payload",
         F.lit(None).cast("string").alias("image_object_key"),
         "inserted_at",
-        "src_partition",
-        "src_offset",
+        *PLACE,
     )
 
 
@@ -85,8 +85,7 @@ def direct_changes(events: DataFrame) -> DataFrame:
         F.when(~is_image, F.col("payload")).alias("payload"),
         F.when(is_image, key).alias("image_object_key"),
         "inserted_at",
-        "src_partition",
-        "src_offset",
+        *PLACE,
     )
 
 
@@ -100,6 +99,5 @@ def image_changes(objects: DataFrame) -> DataFrame:
         F.lit(None).cast("variant").alias("payload"),
         F.col("object_key").alias("image_object_key"),
         "inserted_at",
-        "src_partition",
-        "src_offset",
+        *PLACE,
     )

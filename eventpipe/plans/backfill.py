@@ -19,9 +19,10 @@ from eventpipe.operators.parse import good_events, parse_events
 from eventpipe.operators.routing import image_events
 from eventpipe.operators.upsert import direct_changes, image_changes, latest_per_key
 from eventpipe.plans.reconcile import is_image_row
+from eventpipe.schemas import PLACE
 
 ROW_KEYS = ["id"]
-ROW_ORDER = ["src_partition", "src_offset"]
+ROW_ORDER = list(PLACE)
 ROW_FIRST = ["inserted_at"]
 
 

@@ -17,6 +17,11 @@ def _schema(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
+# Where a record stands among all of them, in order: when it entered the topic, then its place there. A place alone
+# does not do: an id may move to another partition, and a topic made anew begins at 0 again. Records of one partition
+# are in the order of their offsets if the broker stamps them (LogAppendTime) or their sender's clock does not go back.
+PLACE = ("src_time", "src_partition", "src_offset")
+
 # A record as it lies in a topic. File dumps of a topic have the same columns.
 TOPIC = _schema(key=TEXT, value=TEXT, topic=TEXT, partition=INT, offset=BIGINT, timestamp=TIME)
 
@@ -28,6 +33,7 @@ PROCESSED_EVENTS = _schema(
     payload=T.VariantType(),
     image_object_key=TEXT,
     inserted_at=TIME,
+    src_time=TIME,
     src_partition=INT,
     src_offset=BIGINT,
 )
@@ -36,6 +42,12 @@ EVENT_TYPE_COUNTS_5M = _schema(
     window_start=TIME, window_end=TIME, event_type=TEXT, event_count=BIGINT, updated_at=TIME
 )
 
+# Counts of closed windows in parts (``event_count``), and events that came too late for theirs (no count).
+WINDOW_RESULTS = _schema(
+    window_start=TIME, window_end=TIME, event_type=TEXT, event_count=BIGINT, watermark=TIME,
+    id=TEXT, source=TEXT, event_time=TIME, src_time=TIME, src_partition=INT, src_offset=BIGINT,
+)
+
 # What a fetch adds to an event with an ``image_url``.
 RESPONSE = _schema(status=INT, response_type=TEXT, response_content=T.BinaryType())
 
@@ -53,8 +65,9 @@ IMAGE_OBJECTS = _schema(
     inserted_at=TIME,
     reason=TEXT,
     value=TEXT,
+    src_time=TIME,
     src_partition=INT,
     src_offset=BIGINT,
 )
 
-QUARANTINE = _schema(value=TEXT, reason=TEXT, src_partition=INT, src_offset=BIGINT, seen_at=TIME)
+QUARANTINE = _schema(value=TEXT, reason=TEXT, src_time=TIME, src_partition=INT, src_offset=BIGINT, seen_at=TIME)

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventpipe.operators.counts import count_stream
 from eventpipe.operators.images import failed_images, resolve_images, stored_objects
+from eventpipe.operators.late import ROCKS_DB, SLOTS, STATE_STORE, summed_counts, window_results
 from eventpipe.operators.parse import bad_records, good_events, parse_events, require_good
 from eventpipe.operators.routing import data_events, image_events
 from eventpipe.operators.upsert import data_changes, image_changes
@@ -97,6 +98,39 @@ def start_counts(
     )
 
 
+def start_counts_and_late(
+    records: DataFrame, warehouse: Warehouse, checkpoint: str, trigger: dict | None = None, slots: int = SLOTS
+) -> StreamingQuery:
+    """Counts per closed window, and the events that came after their window had closed.
+
+    The results of a batch are written once, then read back for the counts: the
+    state is gone through once. Use another checkpoint than for ``start_counts``:
+    the two keep other state.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        run, table = run_of(batch), warehouse.late_table
+        table.write(batch, batch_id, run)
+        # A window closes once, so any time will do that a replay finds again.
+        counts = summed_counts(table.read([(run, batch_id)]))
+        warehouse.counts_table.write(counts.withColumnRenamed("closed_by", "updated_at"), batch_id, run)
+
+    spark = records.sparkSession
+    results = window_results(good_events(parse_events(records)), slots)
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKS_DB)
+    try:
+        return (
+            results.writeStream.outputMode("append")
+            .foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": INTERVAL}))
+            .start()
+        )
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
 def run_to_end(
     records: DataFrame, warehouse: Warehouse, fetch: Fetch, checkpoint: str, rows: bool = True, counts: bool = True
 ) -> None:

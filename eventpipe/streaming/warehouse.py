@@ -10,7 +10,7 @@ from eventpipe.operators.objects import current_objects
 from eventpipe.operators.upsert import latest_per_key
 from eventpipe.plans.adhoc import register_views, run_sql
 from eventpipe.plans.backfill import ROW_FIRST, ROW_KEYS, ROW_ORDER
-from eventpipe.streaming.tables import BatchTable, KeyedTable
+from eventpipe.streaming.tables import GRACE_SECONDS, BatchTable, KeyedTable
 
 COUNT_KEYS = ["window_start", "event_type"]
 COUNT_ORDER = ["updated_at"]
@@ -33,6 +33,8 @@ class Warehouse:
             {"parquet.bloom.filter.enabled#object_key": "true"},
         )
         self.quarantine_table = BatchTable(spark, f"{self.root}/quarantine", schemas.QUARANTINE)
+        # What the counting query with late rows gives out: parts of counts, and rows that came too late.
+        self.late_table = BatchTable(spark, f"{self.root}/late_events", schemas.WINDOW_RESULTS)
 
     def processed_events(self) -> DataFrame:
         return self.events_table.current()
@@ -50,7 +52,12 @@ class Warehouse:
 
     def quarantine(self) -> DataFrame:
         """One row per place in the topic, as last seen: another run reads the same records again."""
-        return latest_per_key(self.quarantine_table.read(), ["src_partition", "src_offset"], ["seen_at"])
+        return latest_per_key(self.quarantine_table.read(), schemas.PLACE, ["seen_at"])
+
+    def late_events(self) -> DataFrame:
+        """Events that came after their window had closed, one row per place in the topic."""
+        late = self.late_table.read().where(F.col("event_count").isNull()).drop("event_count")
+        return latest_per_key(late, schemas.PLACE, ["watermark"])
 
     def register_views(self) -> None:
         register_views(self.processed_events(), self.event_type_counts())
@@ -61,8 +68,16 @@ class Warehouse:
         return run_sql(self.spark, text)
 
     def compact(self) -> None:
-        self.events_table.compact()
-        self.counts_table.compact()
+        """Snapshots of the keyed tables; small files of the others put together."""
+        for table in (self.events_table, self.counts_table):
+            table.compact()
+        for table in (self.images_table, self.quarantine_table, self.late_table):
+            table.fold()
+
+    def expire(self, grace_seconds: float = GRACE_SECONDS) -> None:
+        """Remove what ``compact`` has replaced for longer than the time of grace."""
+        for table in (self.events_table, self.counts_table, self.images_table, self.quarantine_table, self.late_table):
+            table.expire(grace_seconds)
 
 
 def export_files(objects: DataFrame, root: str) -> None:
