@@ -317,4 +317,6 @@ FROM (SELECT *, {_uuid("'page-' || page_id::VARCHAR")} AS id, {_START} + to_minu
     "stream_quarantine": _QUARANTINE,
 }
 # The same rows by way of topic files.
+ORACLES["hours_from_totals"] = ORACLES["q3_by_hour"]
+ORACLES["reconcile_from_totals"] = ORACLES["reconcile_images"]
 ORACLES["topic_round_trip"] = ORACLES["sent_and_parsed"]

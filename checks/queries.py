@@ -18,11 +18,11 @@ from eventpipe.operators.parse import bad_records
 from eventpipe.operators.upsert import latest_per_key
 from eventpipe.plans import adhoc, analytics
 from eventpipe.plans.backfill import Backfill
-from eventpipe.plans.reconcile import count_image_rows, reconcile_totals, sum_image_counts
+from eventpipe.plans.reconcile import count_image_rows, image_totals, reconcile_totals, sum_image_counts
 from eventpipe.session import configure, work_dir
 from eventpipe.sources.fetch import fetch_from, fetch_with
 from eventpipe.sources.topic import stream_topic_files, with_places, write_topic_files
-from eventpipe.streaming.jobs import run_to_end, start_counts_and_late
+from eventpipe.streaming.jobs import run_to_end, start_counts_and_late, start_totals
 from eventpipe.streaming.warehouse import COUNT_KEYS, COUNT_ORDER, Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -359,6 +359,27 @@ def moved_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(rows.current().select(*ROW_COLUMNS))
 
 
+def _with_totals(spark: SparkSession, sf_dir: str) -> tuple[Backfill, Warehouse]:
+    """First deliveries, totals of them, then repeats (some of another type), and the totals brought up to date."""
+    b = _backfill(spark, sf_dir)
+    warehouse, checkpoint = Warehouse(spark, work_dir(spark, "tables")), work_dir(spark, "checkpoint")
+    changes, repeat = b.changes(), F.col("source") == "retry"
+    for batch, part in enumerate((~repeat, repeat)):
+        warehouse.events_table.write(changes.where(part), batch)
+        start_totals(warehouse, checkpoint, {"availableNow": True}).awaitTermination()
+    return b, warehouse
+
+
+def hours_from_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, warehouse = _with_totals(spark, sf_dir)
+    return comparable(analytics.count_by_hour_from_totals(warehouse.row_totals()))
+
+
+def reconciled_from_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b, warehouse = _with_totals(spark, sf_dir)
+    return reconcile_totals(image_totals(warehouse.row_totals()), b.closed_counts())
+
+
 QUERIES: dict[str, Query] = {
     "parse_events": _batch(parsed_events),
     "parse_quarantine": _batch(lambda b: quarantined(bad_records(b.parsed))),
@@ -407,4 +428,6 @@ QUERIES: dict[str, Query] = {
     "stream_late_rows": late_rows,
     "stream_counts_late": counts_without_late_rows,
     "moved_partitions": moved_partitions,
+    "hours_from_totals": hours_from_totals,
+    "reconcile_from_totals": reconciled_from_totals,
 }

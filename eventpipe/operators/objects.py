@@ -24,10 +24,19 @@ def current_objects(objects: DataFrame) -> DataFrame:
     batches have stored is told apart by ``run`` and ``batch_id`` where the
     rows carry them.
     """
+    return _winners(objects, objects)
+
+
+def _winners(objects: DataFrame, narrow: DataFrame) -> DataFrame:
+    """The rows of ``objects`` that are the last puts of the keys in ``narrow``, of which no bytes are read.
+
+    A key holds its date, so the date of the last put may prune the partitions that bytes are read from.
+    """
     stored = [c for c in ("run", "batch_id") if c in objects.columns]
     place = F.struct(*PLACE, *stored)
-    last = objects.groupBy("object_key").agg(F.max(place).alias("last")).select(F.col("object_key").alias("key"), "last")
-    wins = (objects["object_key"] == F.col("key")) & (place == F.col("last"))
+    last = narrow.groupBy("object_key").agg(F.max(place).alias("last"), F.max_by("date", place).alias("day"))
+    last = last.select(F.col("object_key").alias("key"), "last", "day")
+    wins = (objects["object_key"] == F.col("key")) & (place == F.col("last")) & objects["date"].eqNullSafe(F.col("day"))
     return objects.join(last.hint("shuffle_hash"), wins, "left_semi").drop(*stored)
 
 
@@ -65,8 +74,11 @@ def fetch_object(objects: DataFrame, key: str) -> DataFrame:
 
 
 def fetch_objects(objects: DataFrame, keys: DataFrame) -> DataFrame:
-    """Bytes of all keys in the column ``object_key`` of ``keys``."""
+    """Bytes of all keys in the column ``object_key`` of ``keys``.
+
+    The last put of each key is found among narrow columns; bytes move once, to meet it.
+    """
+    stored = [c for c in ("run", "batch_id") if c in objects.columns]
     wanted = keys.select("object_key").where(F.col("object_key").isNotNull()).distinct()
-    return current_objects(objects.join(wanted, "object_key", "left_semi")).select(
-        "object_key", "content_type", "content"
-    )
+    narrow = objects.select("object_key", "date", *PLACE, *stored).join(wanted, "object_key", "left_semi")
+    return _winners(objects, narrow).select("object_key", "content_type", "content")

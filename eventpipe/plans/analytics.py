@@ -34,6 +34,12 @@ def count_by_hour(processed: DataFrame) -> DataFrame:
     )
 
 
+def count_by_hour_from_totals(totals: DataFrame) -> DataFrame:
+    """``count_by_hour`` from totals that are kept up to date; reads no rows."""
+    hours = totals.where(F.col("n_rows") > 0)
+    return hours.select("hour", "event_type", F.col("n_rows").alias("count")).orderBy(F.desc("hour"), "event_type")
+
+
 def window_counts(counts: DataFrame) -> DataFrame:
     return counts.select("window_start", "window_end", "event_type", "event_count").orderBy(
         F.desc("window_start"), "event_type"

@@ -44,6 +44,13 @@ def reconcile_totals(totals: DataFrame, counts: DataFrame) -> DataFrame:
     return _verdict(totals.withColumn("n_counted", F.lit(0).cast("bigint")), counts)
 
 
+def image_totals(totals: DataFrame) -> DataFrame:
+    """Numbers of stored objects and of image rows, from totals that are kept up to date; reads no objects and no rows."""
+    return totals.agg(
+        F.coalesce(F.sum("n_objects"), F.lit(0)).alias("n_objects"), F.coalesce(F.sum("n_image_rows"), F.lit(0)).alias("n_rows")
+    )
+
+
 def _verdict(measured: DataFrame, counts: DataFrame) -> DataFrame:
     three = measured.unionByName(_measure(sum_image_counts(counts), "n_counted"))
     return three.agg(*[F.sum(m).alias(m) for m in MEASURES]).select(

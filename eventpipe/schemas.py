@@ -48,6 +48,9 @@ WINDOW_RESULTS = _schema(
     id=TEXT, source=TEXT, event_time=TIME, src_time=TIME, src_partition=INT, src_offset=BIGINT,
 )
 
+# Additions and retractions: what rows count for, by hour and type.
+ROW_TOTALS = _schema(hour=TIME, event_type=TEXT, n_rows=BIGINT, n_image_rows=BIGINT, n_objects=BIGINT)
+
 # What a fetch adds to an event with an ``image_url``.
 RESPONSE = _schema(status=INT, response_type=TEXT, response_content=T.BinaryType())
 

@@ -13,6 +13,7 @@ from eventpipe.operators.images import failed_images, resolve_images, stored_obj
 from eventpipe.operators.late import ROCKS_DB, SLOTS, STATE_STORE, summed_counts, window_results
 from eventpipe.operators.parse import bad_records, good_events, parse_events, require_good
 from eventpipe.operators.routing import data_events, image_events
+from eventpipe.operators.totals import SLOTS as TOTAL_SLOTS, row_totals, summed_totals
 from eventpipe.operators.upsert import data_changes, image_changes
 from eventpipe.streaming.tables import DEFAULT_RUN
 from eventpipe.streaming.warehouse import Warehouse
@@ -115,20 +116,37 @@ def start_counts_and_late(
         counts = summed_counts(table.read([(run, batch_id)]))
         warehouse.counts_table.write(counts.withColumnRenamed("closed_by", "updated_at"), batch_id, run)
 
-    spark = records.sparkSession
     results = window_results(good_events(parse_events(records)), slots)
-    before = spark.conf.get(STATE_STORE)
-    spark.conf.set(STATE_STORE, ROCKS_DB)
+    return _start_with_state(results, "append", write, checkpoint, trigger)
+
+
+def start_totals(warehouse: Warehouse, checkpoint: str, trigger: dict | None = None, slots: int = TOTAL_SLOTS) -> StreamingQuery:
+    """Row changes, as the row query writes them, to totals by hour and type."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        warehouse.totals_table.write(summed_totals(batch).coalesce(1), batch_id, run_of(batch))
+
+    totals = row_totals(warehouse.events_table.stream(), slots)
+    return _start_with_state(totals, "update", write, checkpoint, trigger)
+
+
+def _start_with_state(
+    frame: DataFrame, mode: str, write: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None
+) -> StreamingQuery:
+    """The query keeps the session's settings as they are when it starts."""
+    conf = frame.sparkSession.conf
+    before = conf.get(STATE_STORE)
+    conf.set(STATE_STORE, ROCKS_DB)
     try:
         return (
-            results.writeStream.outputMode("append")
+            frame.writeStream.outputMode(mode)
             .foreachBatch(write)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": INTERVAL}))
             .start()
         )
     finally:
-        spark.conf.set(STATE_STORE, before)
+        conf.set(STATE_STORE, before)
 
 
 def run_to_end(

@@ -20,7 +20,7 @@ import hashlib
 import re
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -51,10 +51,11 @@ class BatchTable:
 
     def __init__(
         self, spark: SparkSession, root: str, schema: T.StructType, partition_by: Sequence[str] = (),
-        options: dict[str, str] | None = None,
+        options: dict[str, str] | None = None, combine: Callable[[DataFrame], DataFrame] | None = None,
     ) -> None:
+        """``combine``: what rows of several batches become when they are put together, for sums and the like."""
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.partition_by, self.options = list(partition_by), options or {}
+        self.partition_by, self.options, self.combine = list(partition_by), options or {}, combine or (lambda rows: rows)
 
     def batch_path(self, batch: Batch) -> str:
         return f"{self.root}/log/run={batch[0]}/batch_id={batch[1]}"
@@ -116,6 +117,16 @@ class BatchTable:
             return self.spark.createDataFrame([], schema).select(*columns)
         return reduce(DataFrame.unionByName, frames)
 
+    def stream(self) -> DataFrame:
+        """The rows of batches as they come in, each batch that is written again anew.
+
+        A reader must not fall behind by more than the time of grace of ``expire``.
+        """
+        schema = T.StructType([*self.schema.fields, T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())])
+        self._fs().mkdirs(self._path(f"{self.root}/log"))
+        reader = self.spark.readStream.schema(schema).option("ignoreMissingFiles", "true")
+        return reader.parquet(f"{self.root}/log").select(*self.schema.names)
+
     def fold(self, small_file: int = SMALL_FILE, span_bytes: int = SPAN_BYTES) -> list[Span]:
         """Put neighbouring folders with small files together, and return the new spans.
 
@@ -147,7 +158,7 @@ class BatchTable:
             self.spark.read.schema(self.schema).option("basePath", path).parquet(path).select(*self.schema.names)
             for path in logs + older
         ]
-        self._write(reduce(DataFrame.unionByName, frames), self.span_path(span))
+        self._write(self.combine(reduce(DataFrame.unionByName, frames)), self.span_path(span))
         return span
 
     def expire(self, grace_seconds: float = GRACE_SECONDS) -> None:

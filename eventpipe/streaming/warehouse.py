@@ -8,6 +8,7 @@ from eventpipe import schemas
 from eventpipe.operators.images import stored_objects
 from eventpipe.operators.objects import current_objects
 from eventpipe.operators.upsert import latest_per_key
+from eventpipe.operators.totals import summed_totals
 from eventpipe.plans.adhoc import register_views, run_sql
 from eventpipe.plans.backfill import ROW_FIRST, ROW_KEYS, ROW_ORDER
 from eventpipe.streaming.tables import GRACE_SECONDS, BatchTable, KeyedTable
@@ -36,6 +37,10 @@ class Warehouse:
         # What the counting query with late rows gives out: parts of counts, and rows that came too late.
         self.late_table = BatchTable(spark, f"{self.root}/late_events", schemas.WINDOW_RESULTS)
 
+        self.totals_table = BatchTable(
+            spark, f"{self.root}/row_totals", schemas.ROW_TOTALS, combine=summed_totals
+        )
+
     def processed_events(self) -> DataFrame:
         return self.events_table.current()
 
@@ -59,6 +64,10 @@ class Warehouse:
         late = self.late_table.read().where(F.col("event_count").isNull()).drop("event_count")
         return latest_per_key(late, schemas.PLACE, ["watermark"])
 
+    def row_totals(self) -> DataFrame:
+        """What the current rows count for, by hour and type, from additions and retractions."""
+        return summed_totals(self.totals_table.read())
+
     def register_views(self) -> None:
         register_views(self.processed_events(), self.event_type_counts())
 
@@ -71,12 +80,12 @@ class Warehouse:
         """Snapshots of the keyed tables; small files of the others put together."""
         for table in (self.events_table, self.counts_table):
             table.compact()
-        for table in (self.images_table, self.quarantine_table, self.late_table):
+        for table in (self.images_table, self.quarantine_table, self.late_table, self.totals_table):
             table.fold()
 
     def expire(self, grace_seconds: float = GRACE_SECONDS) -> None:
         """Remove what ``compact`` has replaced for longer than the time of grace."""
-        for table in (self.events_table, self.counts_table, self.images_table, self.quarantine_table, self.late_table):
+        for table in (self.events_table, self.counts_table, self.images_table, self.quarantine_table, self.late_table, self.totals_table):
             table.expire(grace_seconds)
 
 
