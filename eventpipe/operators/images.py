@@ -22,6 +22,7 @@ BASE64, URL, NOTHING = "base64", "url", "none"
 BAD_BASE64 = "bad_base64"
 FETCH_FAILED = "fetch_failed"
 FETCH_STATUS = "fetch_status_"
+FETCH_TOO_LARGE = "fetch_too_large"
 
 
 def with_kind(images: DataFrame) -> DataFrame:
@@ -66,7 +67,7 @@ def resolve_linked(images: DataFrame, fetch: Callable[[DataFrame], DataFrame]) -
     ok = F.col("status").between(200, 299)
     failure = F.when(F.col("status").isNull(), F.lit(FETCH_FAILED)).when(
         ~ok, F.concat(F.lit(FETCH_STATUS), F.col("status").cast("string"))
-    )
+    ).when(F.col("response_content").isNull(), FETCH_TOO_LARGE)
     return _objects(
         fetch(linked)
         .withColumn("content", F.when(ok, F.col("response_content")))
