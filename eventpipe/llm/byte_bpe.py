@@ -7,13 +7,18 @@ the merge table, every word contracts its leftmost pair of minimum rank, and
 words without a pair leave, until none is left. Ids are decoded by an ordered
 aggregation over the vocabulary.
 
+A recursive query keeps the rows of every step. Words of over ``LONG_BYTES``
+(whole clauses, in scripts without spaces) therefore contract all places of
+their least pair in a step, which comes to the same, as no merge can make a pair
+of a lesser rank than its own; and the query stops after so many steps that it
+holds ``HELD_ROWS``, and goes on from where it stood. A word may have any length.
+
 Nothing is shuffled. A worker forgets its words when it holds over ``CACHE_WORDS``.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 import re
 from collections.abc import Iterator
 
@@ -22,13 +27,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-CACHE_WORDS = 300_000
-CACHE_CHUNKS = 200_000
-CACHE_CHARS = 32_000_000
-# Words of more bytes are merged by a heap: a recursive query keeps all steps of a word.
-QUERY_BYTES = 64
+from eventpipe.llm.common import bound_batches, trim_memory
+
+CACHE_WORDS = 200_000
+CACHE_CHUNKS = 150_000
+CACHE_CHARS = 8_000_000
+LONG_BYTES = 64
 QUERY_WORDS = 25_000
+# Bytes of long words in a query (one word may have more), and rows that all steps of it may hold.
+QUERY_BYTES, HELD_ROWS = 100_000, 1_000_000
 SLICE_CHARS = 2_000_000
+MEMORY_LIMIT = "128MB"
 # Below this all versions of Unicode that libraries follow agree on letters, numbers and spaces.
 RARE_FROM = "\u0500"
 RARE = re.compile("[^\x00-\u04ff]")
@@ -39,7 +48,7 @@ OTHER_CHAR = "\u2020"
 # State rows: a position's id and its right neighbour's (-1 at the end of a word).
 # A step's key is rank and position, so its minimum is the leftmost pair of least rank.
 # Words without a pair come out once more, not live, and leave the recursion.
-# Rows stay in the order of (w, pos): on one thread, joins probe the working table in order.
+# On one thread, joins hand rows on in the order of (w, pos), which saves a sort a step; each step makes sure of it.
 MERGE = """
 WITH RECURSIVE state(live, w, pos, id, after) AS (
   SELECT true, w, pos, id, after FROM words
@@ -52,7 +61,8 @@ WITH RECURSIVE state(live, w, pos, id, after) AS (
     best AS (SELECT w, min(key) AS best FROM keyed GROUP BY w),
     cut AS (
       SELECT best IS NOT NULL AS live, w, pos, CASE WHEN key = best THEN (best >> 20)::INT ELSE id END AS id,
-        lag(key = best) OVER () AS taken
+        CASE WHEN lag(w) OVER () > w OR (lag(w) OVER () = w AND lag(pos) OVER () >= pos) THEN error('rows out of order')
+          ELSE lag(key = best) OVER () END AS taken
       FROM keyed JOIN best USING (w)
     )
     SELECT live, w, pos, id, CASE WHEN lead(w) OVER () = w THEN lead(id) OVER () ELSE -1 END
@@ -61,6 +71,41 @@ WITH RECURSIVE state(live, w, pos, id, after) AS (
 )
 SELECT w, id FROM state WHERE NOT live ORDER BY w, pos
 """
+# For an engine that hands rows on in another order.
+MERGE_SORTED = MERGE.replace("OVER ()", "OVER (ORDER BY w, pos)")
+# All places of a word's least pair at once. Where they overlap (a pair of two equal ids, in a run of them), every other
+# one from the left is taken. ``$1`` steps at most; words that are not through come out live.
+MERGE_LONG = """
+WITH RECURSIVE state(step, live, w, pos, id, after) AS (
+  SELECT 0, true, w, pos, id, after FROM words
+  UNION ALL (
+    WITH keyed AS MATERIALIZED (
+      SELECT step, w, pos, id, after, merged
+      FROM state LEFT JOIN merges ON pair = ((id::BIGINT << 20) | after)
+      WHERE live AND step < $1
+    ),
+    best AS (SELECT w, min(merged) AS best FROM keyed GROUP BY w),
+    marked AS (
+      SELECT step, w, pos, id, best, coalesce(merged = best, false) AS hit,
+        row_number() OVER seq AS nr, coalesce(lag(merged = best) OVER seq, false) AS hit_before
+      FROM keyed JOIN best USING (w) WINDOW seq AS (PARTITION BY w ORDER BY pos)
+    ),
+    runs AS (
+      SELECT step, w, pos, id, best, hit,
+        nr - max(CASE WHEN hit AND NOT hit_before THEN nr END) OVER (PARTITION BY w ORDER BY pos) AS since
+      FROM marked
+    ),
+    cut AS (
+      SELECT step, w, pos, best, CASE WHEN hit AND since % 2 = 0 THEN best ELSE id END AS id,
+        lag(hit AND since % 2 = 0) OVER (PARTITION BY w ORDER BY pos) AS taken
+      FROM runs
+    )
+    SELECT step + 1, best IS NOT NULL, w, pos, id, coalesce(lead(id) OVER (PARTITION BY w ORDER BY pos), -1)
+    FROM cut WHERE taken IS NOT TRUE
+  )
+)
+SELECT live, w, pos, id, after FROM state WHERE NOT live OR step = $1 ORDER BY w, pos
+"""
 # Bytes stand as the characters with their numbers, as SQL joins texts only.
 DECODE = """
 SELECT w, string_agg(piece, '') AS text
@@ -73,32 +118,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def merge_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same contraction for one very long word, in n log n steps."""
-    end = len(word)
-    ends = list(range(1, end + 1)) + [end]
-    before = list(range(-1, end))
-    heap = [(ranks[word[i : i + 2]], i, i + 2) for i in range(end - 1) if word[i : i + 2] in ranks]
-    heapq.heapify(heap)
-    alive = [True] * end
-    while heap:
-        _, start, stop = heapq.heappop(heap)
-        middle = ends[start] if start < end else end
-        if not alive[start] or middle >= end or not alive[middle] or ends[middle] != stop:
-            continue
-        alive[middle], ends[start] = False, stop
-        if stop < end:
-            before[stop] = start
-            key = word[start : ends[stop]]
-            if key in ranks:
-                heapq.heappush(heap, (ranks[key], start, ends[stop]))
-        if before[start] >= 0:
-            key = word[before[start] : stop]
-            if key in ranks:
-                heapq.heappush(heap, (ranks[key], before[start], stop))
-    return [ranks[word[i : ends[i]]] for i in range(end) if alive[i]]
-
-
 def space_chunks(text: str) -> list[str]:
     """Cut before every space that opens a pre-token; all chunks but the first stand for ' ' + chunk.
 
@@ -124,7 +143,8 @@ class Coder:
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.db = duckdb.connect()
         self.db.execute("SET threads = 1")
-        self.db.execute("SET memory_limit = '256MB'")
+        self.db.execute(f"SET memory_limit = '{MEMORY_LIMIT}'")
+        self.db.execute("SET temp_directory = ''")
         pairs = [
             ((left << 20) | right, rank)
             for token, rank in self.ranks.items()
@@ -175,36 +195,65 @@ class Coder:
 
     def _learn(self, words: set[str]) -> None:
         """Ids of words that are not in the cache yet."""
-        names, tokens = [], []
+        short, long = [], []
         for word in words:
             token = word.encode("utf-8")
             if (rank := self.ranks.get(token)) is not None:
                 self.words[word] = rank.to_bytes(4, "little")
-            elif len(token) > QUERY_BYTES:
-                self.words[word] = pack(merge_by_heap(token, self.ranks))
             else:
-                names.append(word)
-                tokens.append(token)
-        for start in range(0, len(names), QUERY_WORDS):
-            stop = start + QUERY_WORDS
-            self.words.update(zip(names[start:stop], self._merged(tokens[start:stop])))
-
-    def _merged(self, tokens: list[bytes]) -> list[bytes]:
-        """Packed ids of each token string."""
+                (long if len(token) > LONG_BYTES else short).append((word, token))
+        for start in range(0, len(short), QUERY_WORDS):
+            names, tokens = zip(*short[start : start + QUERY_WORDS])
+            self.words.update(zip(names, self._merged(self._positions(tokens), len(tokens))))
+        block, held = [], 0
+        for item in [*long, None]:
+            if block and (item is None or held + len(item[1]) > QUERY_BYTES):
+                names, tokens = zip(*block)
+                self.words.update(zip(names, self._merged_long(self._positions(tokens), len(tokens))))
+                block, held = [], 0
+            if item:
+                block.append(item)
+                held += len(item[1])
+
+    def _positions(self, tokens: list[bytes]) -> pa.Table:
+        """Rows of the state at its start: a row for each byte."""
         sizes = np.array([len(t) for t in tokens], dtype=np.int64)
         w = np.repeat(np.arange(len(tokens), dtype=np.int32), sizes)
         ids = self.byte_ids[np.frombuffer(b"".join(tokens), dtype=np.uint8)]
         after = np.append(ids[1:], np.int32(-1))
         after[np.cumsum(sizes) - 1] = -1
-        self.db.register("words", pa.table({"w": w, "pos": positions(sizes), "id": ids, "after": after}))
-        rows = self.db.execute(MERGE).fetchnumpy()
-        self.db.unregister("words")
-        ends = np.searchsorted(rows["w"], np.arange(len(tokens)), side="right") * 4
-        flat, start, out = rows["id"].astype("<u4").tobytes(), 0, []
-        for end in ends.tolist():
-            out.append(flat[start:end])
-            start = end
-        return out
+        return pa.table({"w": w, "pos": positions(sizes), "id": ids, "after": after})
+
+    def _query(self, sql: str, words: pa.Table, parameters: tuple = ()) -> dict[str, np.ndarray]:
+        self.db.register("words", words)
+        try:
+            return self.db.execute(sql, parameters).fetchnumpy()
+        finally:
+            self.db.unregister("words")
+
+    def _merged(self, words: pa.Table, count: int) -> list[bytes]:
+        """Packed ids of each word."""
+        import duckdb
+
+        try:
+            rows = self._query(MERGE, words)
+        except duckdb.InvalidInputException as error:
+            if "rows out of order" not in str(error):
+                raise
+            rows = self._query(MERGE_SORTED, words)
+        return _packed(rows["w"], rows["id"], count)
+
+    def _merged_long(self, words: pa.Table, count: int) -> list[bytes]:
+        """The same, some steps at a time; what is not through goes on as it stands."""
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while words.num_rows:
+            rows = self._query(MERGE_LONG, words, (max(HELD_ROWS // words.num_rows, 1),))
+            live = rows.pop("live").astype(bool)
+            done.append((rows["w"][~live], rows["id"][~live]))
+            words = pa.table({name: column[live] for name, column in rows.items()})
+        w, ids = (np.concatenate(parts) for parts in zip(*done))
+        order = np.argsort(w, kind="stable")  # a word comes out of one query whole
+        return _packed(w[order], ids[order], count)
 
     def decode(self, packed: list[bytes]) -> list[bytes]:
         """Bytes of each id sequence, by one ordered aggregation."""
@@ -241,6 +290,16 @@ def positions(sizes: np.ndarray) -> np.ndarray:
     return (np.arange(sizes.sum()) - np.repeat(starts, sizes)).astype(np.int32)
 
 
+def _packed(w: np.ndarray, ids: np.ndarray, count: int) -> list[bytes]:
+    """The ids of words 0 to ``count``, sorted by word, as packed sequences."""
+    ends = np.searchsorted(w, np.arange(count), side="right") * 4
+    flat, start, out = ids.astype("<u4").tobytes(), 0, []
+    for end in ends.tolist():
+        out.append(flat[start:end])
+        start = end
+    return out
+
+
 def pack(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
     return b"".join([i.to_bytes(4, "little") for i in ids])
@@ -278,7 +337,7 @@ def encode_decode(docs: DataFrame, ranks_path: str | None = None, pattern: str |
 
     ``ids`` are packed as little-endian unsigned 32-bit integers, ``decoded``
     are the bytes they stand for. No special tokens: their strings are text. A
-    null text is an empty one, with no ids. Rows keep their number, repeated
+    null text is an empty one, with no ids. A text or a word in it may have any length. Rows keep their number, repeated
     ones too; a null doc_id stays null. Other columns are ignored. An empty
     table gives an empty one.
     """
@@ -297,7 +356,9 @@ def encode_decode(docs: DataFrame, ranks_path: str | None = None, pattern: str |
                     [batch.column(0).slice(start, len(texts)), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())],
                     names=["doc_id", "ids", "decoded"],
                 )
+        trim_memory()
 
+    bound_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary, decoded binary")
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventpipe.session import work_dir
@@ -14,6 +17,25 @@ BLANKS = " \t\n\x0b\x0c\r"
 HEAVY_KEYS = 1000
 
 
+# What an Arrow batch may hold, so that very long texts come a few at a time.
+BATCH_BYTES = "8m"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Sessions that run these operators hand texts to Python in batches of ``BATCH_BYTES``, or of one row."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def trim_memory() -> None:
+    """Give memory that a Python worker no longer uses back to its machine; workers wait for tasks of later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 class Scratch:
     """A new folder below ``spark.checkpoint.dir`` for the tables one job settles.
 

@@ -8,7 +8,7 @@ P = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
 
 from eventpipe.llm import byte_bpe  # noqa: E402
-from eventpipe.llm.byte_bpe import Coder, encode_decode, merge_by_heap, pack  # noqa: E402
+from eventpipe.llm.byte_bpe import Coder, encode_decode, pack  # noqa: E402
 from eventpipe.llm.token_counts import ByteLevel, count_tokens, count_words  # noqa: E402
 
 KIND = "doc_id bigint, text string"
@@ -38,9 +38,39 @@ def test_ids_are_those_of_the_library_and_decode_to_the_text(own, library):
     assert own.decode(ids) == [t.encode() for t in given]
 
 
-def test_the_heap_merges_as_the_query_does(own, library):
-    for word in ("abababab" * 9, "aaaaaaa", "xyzzy", "é漢" * 40, "q"):
-        assert merge_by_heap(word.encode(), own.ranks) == library._encode_single_piece(word)
+def test_long_words_go_through_the_query(own, library, monkeypatch):
+    r = random.Random(9)
+    words = ["abababab" * 9, "a" * 1001, "xyz" * 700, "é漢" * 400, "".join(r.choices("漢字日本語文中国人", k=900)), "".join(r.choices("abcdefgh", k=5000))]
+    expected = [pack(library._encode_single_piece(w)) for w in (w.encode() for w in words)]
+    for held in (byte_bpe.HELD_ROWS, 20_000, 1):
+        monkeypatch.setattr(byte_bpe, "HELD_ROWS", held)
+        for size in (100_000, 3_000):
+            monkeypatch.setattr(byte_bpe, "QUERY_BYTES", size)
+            some = words if held > 1 else words[:2]
+            own.words.clear()
+            own._learn(set(some))
+            assert [own.words[w] for w in some] == expected[: len(some)]
+
+
+def test_rows_out_of_order_are_noticed(own, library):
+    words = [w.encode() for w in ("outoforder", "xyzzyplugh", "漢字", "internationalisation")]
+    table = own._positions(words)
+    mixed = table.take(list(random.Random(2).sample(range(table.num_rows), table.num_rows)))
+    with pytest.raises(Exception, match="rows out of order"):
+        own._query(byte_bpe.MERGE, mixed)
+    assert own._merged(mixed, len(words)) == [pack(library._encode_single_piece(w)) for w in words]
+
+
+def test_texts_without_spaces_are_those_of_the_library(own, library):
+    r = random.Random(4)
+    texts = ["，".join("".join(r.choices("的一是不了人我在有他这为之大来以个中上们", k=r.randint(1, 80))) for _ in range(60)) for _ in range(20)]
+    assert own.encode(texts) == [pack(library.encode_ordinary(t)) for t in texts]
+
+
+def test_a_very_long_text_and_a_very_long_word(own, library):
+    for text in ("word and 字 " * 60_000, "".join(random.Random(1).choices("etaoinshrdlu", k=60_000))):
+        [ids] = own.encode([text])
+        assert ids == pack(library.encode_ordinary(text)) and own.decode([ids]) == [text.encode()]
 
 
 def test_forgetting_words_changes_nothing(own, library, monkeypatch):
