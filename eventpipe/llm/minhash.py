@@ -9,24 +9,30 @@ buckets; two sets of similarity 0.8 share no bucket with a chance of 5e-8.
 Texts with equal sets are one class, of which only the smallest id goes on.
 Within a bucket every class is paired with the smallest only, so there are at
 most as many pairs as bucket entries. Pairs are confirmed on the full sets,
-and links joined to components. A star alone would miss links between two
-classes that are both unlike its centre, so classes that still share a bucket
-but no component are paired after that. Such a pair is made only if its
-distances to the centre allow a link by the triangle inequality of the Jaccard
-distance, and if ``BITS`` bits of independent MinHash functions agree as those
-of a link do: a true link fails that with a chance of 3e-7.
+and links joined to components.
+
+A star alone would miss links between two classes that are both unlike its
+centre. Classes that share a bucket but no component, its centre left out, are
+joined exactly after that, by prefixes: the shingles of each are put in the
+order of how many of these classes have them, the rarest first, and of two sets
+with a link at least one shingle among the first ``n - overlap + 1`` of both is
+the same, ``overlap`` being what a link of two sets of their sizes needs. A
+shingle that only one class has takes its place in that order and is not sent.
+Copies just below the limit, each with words of its own, have prefixes of such
+shingles and meet nobody.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventpipe.llm.byte_bpe import slices
-from eventpipe.llm.common import Scratch, connected_components, join_groups
+from eventpipe.llm.common import Scratch, bound_batches, connected_components, join_groups, trim_memory
 
 SIMILARITY_PERCENT = 80
 SHINGLE_WORDS = 2
@@ -34,9 +40,8 @@ BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
 BIN_BITS = 7
 SEED = 20_26
-# One bit of each of so many independent MinHash functions, as longs.
-BITS = 2048
-BIT_LONGS = BITS // 64
+# Sizes of sets are dealt into classes, each a fiftieth larger than the one before: partners of one class need one prefix.
+SIZE_STEP = 1.02
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -134,27 +139,6 @@ def buckets(own: np.ndarray) -> np.ndarray:
     return h
 
 
-def _bit_functions() -> tuple[np.ndarray, np.ndarray]:
-    random = np.random.default_rng(SEED + 1)
-    return (random.integers(0, 2**64, BITS, dtype=np.uint64) for _ in range(2))
-
-
-_FACTORS, _OFFSETS = _bit_functions()
-_FACTORS |= np.uint64(1)
-
-
-def bits(own: np.ndarray) -> np.ndarray:
-    """One bit of the least value under each function, packed in longs."""
-    least = np.empty(BITS, np.uint64)
-    step = max(1, min(BITS, 65_536 // max(len(own), 1)))
-    with np.errstate(over="ignore"):
-        for i in range(0, BITS, step):
-            h = (own[:, None] ^ _OFFSETS[i : i + step]) * _FACTORS[i : i + step]
-            h ^= h >> np.uint64(32)
-            least[i : i + step] = (h * _BASE).min(axis=0)
-    return np.packbits((mix(least) & np.uint64(1)).astype(np.uint8)).view(np.int64)
-
-
 def _set_key(own: np.ndarray) -> tuple[int, int]:
     """128 bits that stand for a set."""
     with np.errstate(over="ignore"):
@@ -182,6 +166,7 @@ def with_sketches(docs: DataFrame, size: int) -> DataFrame:
                     ],
                     names=["doc_id", "n_shingles", "k1", "k2", "bands"],
                 )
+        trim_memory()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
@@ -199,26 +184,12 @@ def with_sets(docs: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(texts)), sets], names=["doc_id", "shingles"]
                 )
+        trim_memory()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, shingles array<bigint>")
 
 
-def with_bits(sets: DataFrame) -> DataFrame:
-    """(doc_id, bits) of full sets."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                own = batch.column(1)[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, 1), pa.array([bits(own)], pa.list_(pa.int64()))], names=["doc_id", "bits"]
-                )
-
-    kind = sets.schema["doc_id"].dataType.simpleString()
-    return sets.select("doc_id", "shingles").mapInArrow(run, f"doc_id {kind}, bits array<bigint>")
-
-
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
     """``pairs`` (a, b) with ``shared`` and ``total`` shingles of the full sets.
 
@@ -245,6 +216,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT, size: in
     are ignored. An empty table gives an empty one.
     """
     scratch = Scratch(docs.sparkSession, "near-duplicates")
+    bound_batches(docs.sparkSession)
     rows = scratch.settle(with_sketches(docs, size), "sketches")
     classes = scratch.settle(
         rows.where("doc_id IS NOT NULL AND k1 IS NOT NULL")
@@ -277,7 +249,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT, size: in
     linked = F.col("shared") * 100 >= F.col("total") * percent
     links = tried.where(linked).select("a", "b").distinct()
     parts = scratch.settle(connected_components(links, scratch), "parts")
-    left = scratch.settle(unlinked_pairs(members, tried, parts, sets, percent, scratch), "left")
+    left = scratch.settle(unlinked_pairs(members, parts, sets, percent, scratch), "left")
     more = verified(left, sets, percent, scratch, "left").where(linked).select("a", "b").distinct()
     more = scratch.settle(more, "more")
 
@@ -306,45 +278,62 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT, size: in
 
 
 def unlinked_pairs(
-    members: DataFrame, tried: DataFrame, parts: DataFrame, sets: DataFrame, percent: int, scratch: Scratch
+    members: DataFrame, parts: DataFrame, sets: DataFrame, percent: int, scratch: Scratch
 ) -> DataFrame:
-    """Pairs (a, b) within a bucket, of two components, that may still be linked.
-
-    The distance of two sets is at least the difference of their distances to
-    the centre, and at most a limit for a link; their sizes bound it as well.
-    Of the bits of two sets of similarity s, a share of (1 + s) / 2 agrees, with
-    the spread of independent draws; five times the spread is allowed for.
-    """
-    limit = 1 - percent / 100 + 1e-9
-    own = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+    """Pairs (a, b) of two components, among members of common buckets, that a common prefix lets be linked."""
+    own = members.where("rep <> centre").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
     own = own.withColumn("component", F.coalesce("component", "rep"))
-    # A bucket whose members are all linked has no such pair.
+    # A bucket whose members are all linked, or that has one beside its centre, has no such pair.
     torn = own.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    own = scratch.settle(own.join(torn.select("bucket"), "bucket", "left_semi"), "torn")
-    asked = own.select(F.col("rep").alias("doc_id")).distinct()
-    sketched = scratch.settle(with_bits(sets.join(asked, "doc_id", "left_semi")), "bits")
-    distance = F.max(1 - F.col("shared") / F.col("total")).alias("d")
-    own = own.join(
-        tried.groupBy(F.col("a").alias("centre"), F.col("b").alias("rep")).agg(distance), ["centre", "rep"], "left"
-    ).withColumn("d", F.coalesce("d", F.lit(0.0)))
-    longs = [F.col("bits")[i].alias(f"b{i}") for i in range(BIT_LONGS)]
-    own = own.join(sketched.select(F.col("doc_id").alias("rep"), *longs), "rep")
-    p, q = own.alias("p"), own.alias("q")
-    differ = sum((F.bit_count(F.col(f"p.b{i}").bitwiseXOR(F.col(f"q.b{i}"))) for i in range(BIT_LONGS)), F.lit(0))
-    share = (1 - percent / 100) / 2
-    most = BITS * share + 5 * (BITS * share * (1 - share)) ** 0.5
+    own = own.join(torn.select("bucket"), "bucket", "left_semi").select("rep", "component").distinct()
+    own = scratch.settle(own, "torn")
+    # Under one id there may be several sets, each a node of its own here.
+    placed = sets.join(own.withColumnRenamed("rep", "doc_id"), "doc_id").select(
+        F.col("doc_id").alias("rep"), "component", F.xxhash64("shingles").alias("set"),
+        F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"),
+    )
+    placed = scratch.settle(placed, "shingles")
+    common = placed.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    known = join_groups(placed, scratch.settle(common, "common-shingles"), ["shingle"], "df", ["rep", "set"])
+    ordered = known.groupBy("rep", "component", "set", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
+    # The shingles of one class alone come first. No partner needs more than this prefix of the whole order.
+    alone, longest = F.col("n") - F.size("shared"), F.floor(F.col("n") * (100 - percent) / 100) + 1
+    ordered = ordered.withColumn("alone", alone).where(alone < longest)
+    heads = ordered.select(
+        "rep", "component", "n", "alone", F.posexplode(F.slice("shared", F.lit(1), (longest - F.col("alone")).cast("int"))).alias("at", "head")
+    ).select("rep", "component", "n", (F.col("alone") + F.col("at")).alias("pos"), F.col("head.shingle").alias("shingle"), _size_class(F.col("n")).alias("class"))
+    least, most = F.ceil(F.col("n") * percent / 100), F.floor(F.col("n") * 100 / percent)
+    dealt = heads.withColumn("other", F.explode(F.sequence(_size_class(least), _size_class(most))))
+    smallest = F.greatest(least, F.floor(F.pow(F.lit(SIZE_STEP), F.col("other"))) - 1)
+    dealt = dealt.where(F.col("pos") <= F.col("n") - _overlap(F.col("n"), smallest, percent)).select(
+        "shingle", F.least("class", "other").alias("low"), F.greatest("class", "other").alias("high"), "rep", "component", "n", "pos", "class"
+    )
+    dealt = scratch.settle(dealt, "prefixes")
+    p, q = dealt.alias("p"), dealt.alias("q")
+    needed = _overlap(F.col("p.n"), F.col("q.n"), percent)
     may = (
-        (F.col("p.bucket") == F.col("q.bucket"))
+        (F.col("p.shingle") == F.col("q.shingle"))
+        & (F.col("p.low") == F.col("q.low"))
+        & (F.col("p.high") == F.col("q.high"))
         & (F.col("p.rep") < F.col("q.rep"))
         & (F.col("p.component") != F.col("q.component"))
-        & (F.col("p.rep") != F.col("p.centre"))
-        & (F.abs(F.col("p.d") - F.col("q.d")) <= limit)
+        & ((F.col("p.low") == F.col("p.high")) | (F.col("p.class") != F.col("q.class")))
         & (F.least("p.n", "q.n") * 100 >= F.greatest("p.n", "q.n") * percent)
-        & (differ <= most)
+        # What stands from the common shingle on must be enough for the overlap.
+        & (F.least(F.col("p.n") - F.col("p.pos"), F.col("q.n") - F.col("q.pos")) >= needed)
     )
     return p.join(q, may).select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b")).distinct()
 
 
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / math.log(SIZE_STEP) + 1e-9).cast("int")
+
+
+def _overlap(n: Column, m: Column, percent: int) -> Column:
+    """Shingles that two sets of these sizes have in common at least if they are linked."""
+    return F.ceil((n + m) * percent / (100 + percent) - 1e-9)
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``documents``."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

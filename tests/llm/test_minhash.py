@@ -77,6 +77,58 @@ def test_one_large_group_and_five_word_shingles(spark):
     assert run(spark, rows, size=5) == brute_force(rows, 5)
 
 
+@pytest.mark.parametrize("edits", [5, 7])
+def test_a_thousand_near_copies_about_the_limit(spark, edits, tmp_path):
+    """Five edits of a hundred words leave 0.83 of the shingles of two copies in common at least, seven about 0.76."""
+    r = random.Random(edits)
+    rows = []
+    for i in range(1000):
+        own = [f"w{k}" for k in range(100)]
+        for k in r.sample(range(1, 99), edits):
+            own[k] = f"e{r.randrange(10**9)}"
+        rows.append((i, " ".join(own)))
+    got = run(spark, rows)
+    sets = [sets_of(t, 2) for _, t in rows]
+    # Brute force, in blocks: which copies have a link at all, and one component for all linked ones.
+    parent = list(range(1000))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a in range(1000):
+        for b in range(a):
+            if 9 * len(sets[a] & sets[b]) >= 4 * (len(sets[a]) + len(sets[b])):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    assert {i: c for i, _, c, _ in got} == {i: find(i) for i in range(1000)}
+
+
+def test_leftover_pairs_are_few(spark):
+    """Copies just below the limit, with words of their own, meet nobody."""
+    from eventpipe.llm.minhash import unlinked_pairs
+
+    r = random.Random(1)
+    rows = []
+    for i in range(400):
+        own = [f"w{k}" for k in range(100)]
+        for k in r.sample(range(1, 99), 8):
+            own[k] = f"e{r.randrange(10**9)}"
+        rows.append((i, [hash(x) % 2**62 for x in sets_of(" ".join(own), 2)]))
+    sets = spark.createDataFrame(rows, "doc_id bigint, shingles array<bigint>")
+    members = spark.createDataFrame([(1, i, len(s), -1) for i, s in rows], "bucket bigint, rep bigint, n bigint, centre bigint")
+    parts = spark.createDataFrame([], "node bigint, component bigint")
+    assert unlinked_pairs(members, parts, sets, 80, Scratch(spark, "t")).count() < 400
+
+
+def test_several_texts_under_one_id(spark):
+    base = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(base)), (2, " ".join(f"v{i}" for i in range(50))), (2, " ".join(base[:-3] + ["x", "y"])), (3, " ".join(f"v{i}" for i in range(52)))]
+    assert run(spark, rows) == brute_force(rows)
+
+
 def test_empty_table_and_extra_columns(spark):
     assert run(spark, []) == []
     frame = near_duplicates(spark.createDataFrame([(1, "a b", 5, 6)], KIND + ", rep int, component_id int"))
