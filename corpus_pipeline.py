@@ -5,6 +5,12 @@ returns a frame; ``run`` writes it as Parquet in the shared folder and hands it
 to the next one. All stages but the last return the columns of documents.
 Whatever a stage decides is settled in a narrow table first; texts move at most
 once per stage, to meet the decisions about them.
+
+Doc ids may be null or repeat. A stage decides about a row by its id and content
+together, so other rows of that id, or without one, are not touched by it. More
+columns than those of documents are handed through, whatever their names. Null
+and empty texts have no letters and go in the first stage. A text may have any
+length. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -45,21 +51,39 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated lines out of the texts; ``n_chars`` follows. A document that loses all its lines goes."""
-    cleaned = dedup_lines(docs)
+    # Under names that the operator does not give.
+    others = {c: f"given_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    cleaned = dedup_lines(docs.select("doc_id", "text", *[F.col(c).alias(name) for c, name in others.items()]))
     emptied = (F.col("n_dropped") > 0) & (F.trim("kept") == "")
-    return cleaned.where(~emptied).select(
-        *[
-            F.col("kept").alias(c) if c == "text" else F.char_length("kept").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
-            for c in docs.columns
-        ]
-    )
+
+    def column(c: str) -> Column:
+        if c == "n_chars":
+            return F.char_length("kept").cast(docs.schema[c].dataType)
+        return F.col("kept") if c == "text" else F.col(others.get(c, c))
+
+    return cleaned.where(~emptied).select(*[column(c).alias(c) for c in docs.columns])
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near duplicates."""
+    """Keeps one row of each group of near duplicates: the one with the smallest doc_id, then content; null ids come last."""
     scratch = Scratch(spark, "pipeline-near")
-    gone = near_duplicates(docs, size=SHINGLE_WORDS).where(~F.col("kept")).select("doc_id").distinct()
-    return _without(docs, gone, docs["doc_id"] == F.col("rejected.doc_id"), scratch)
+    content = F.xxhash64("text", "lang", "source")
+    node = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", content.alias("content"))
+    nodes = scratch.settle(near_duplicates(docs.select(node.alias("doc_id"), "text"), size=SHINGLE_WORDS), "nodes")
+    gone = nodes.where(~F.col("kept")).select("doc_id.doc_id", "doc_id.content").distinct()
+    # Rows that are the same in id and content are one node: of these one stays.
+    same = nodes.where("kept").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id.doc_id", "doc_id.content")
+    gone, same = scratch.settle(gone, "gone"), scratch.settle(same, "same")
+
+    def met(name: str) -> Column:
+        return docs["doc_id"].eqNullSafe(F.col(f"{name}.doc_id")) & (content == F.col(f"{name}.content"))
+
+    alone = docs.join(gone.union(same).alias("other"), met("other"), "left_anti")
+    if same.isEmpty():
+        return alone
+    repeated = docs.join(same.alias("same"), met("same"), "left_semi")
+    first = F.first(F.struct(*docs.columns)).alias("row")
+    return alone.unionByName(repeated.groupBy("doc_id", content).agg(first).select("row.*"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
