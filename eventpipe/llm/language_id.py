@@ -8,13 +8,17 @@ smoothed towards that of its parent domain, which is smoothed towards the
 corpus. The text likelihood is tempered, as trigrams of a text depend on each
 other: it counts as that of ``TEXT_WEIGHT`` independent trigrams at most.
 
-Every language that a row declares is a possible answer, however few rows do.
-The models are sparse and scored in blocks of ``BLOCK_ENTRIES`` numbers, so no
-worker holds more of them at once; a row takes a number for each language.
-
-The trigram models alone are fitted on a sample by hash of about
-``TRAIN_DOCS`` documents with a declared language. Everything else is a
-grouped aggregation over all rows.
+Every language that a row declares by a code of two or three letters is a
+possible answer, however few rows do; there are at most 18,252 such codes. One
+more answer is none of them, for other languages and junk: its trigrams are
+all alike, and ``MARGIN`` less likely than those of a language in its own texts.
+A text that it explains best is rejected. The models are sparse and scored in
+blocks of ``BLOCK_ENTRIES`` numbers, so no worker holds more of them at once; a
+row takes a number for each language.
+
+The trigram models alone are fitted on a sample: by hash about ``TRAIN_DOCS``
+documents, the same number of each declared language, and of equal texts one.
+Everything else is a grouped aggregation over all rows.
 """
 
 from __future__ import annotations
@@ -26,12 +30,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventpipe.llm.byte_bpe import slices
-from eventpipe.llm.common import Scratch, join_groups
+from eventpipe.llm.common import Scratch, bound_batches, join_groups, trim_memory
 
 TRAIN_DOCS = 4_000
+# Of each language at least so many, if there are.
+LEAST_TRAIN_DOCS = 20
+# What a row may declare as its language: the code before a region or script.
+CODE = r"^\s*([a-z]{2,3})(?![a-z])"
 SLOTS = 1 << 16
-# Count of a slot that a language's sample does not have.
+# Share of a model that is the same for every slot, seen in the language's sample or not.
 UNSEEN = 0.1
+# By how much (in logarithms, a trigram) a text may be less likely than those of its language before it is none.
+MARGIN = 3.5
 # Numbers of one block of models, and of one batch of scores.
 BLOCK_ENTRIES = 1 << 21
 BATCH_ENTRIES = 1 << 20
@@ -89,14 +99,20 @@ def _folding() -> np.ndarray:
 _FOLD = _folding()
 
 
-def train(docs: DataFrame, languages: Sequence[str], share: float, scratch: Scratch) -> Iterator[tuple]:
-    """Models of the languages in blocks, from a sample of the documents that declare one.
+def train(docs: DataFrame, languages: dict[str, int], scratch: Scratch) -> Iterator[tuple]:
+    """Models of the languages (name: rows that declare it) in blocks, from a sample; the last stands for none of them.
 
     A block is (starts, which, more, least): ``least`` are the log-probabilities
-    of a slot the language's sample does not have; what a slot that it has gets
+    of a slot that a language's sample does not have; what a slot that it has gets
     on top is in ``more``, by slot, with the language's place in ``which``.
     """
-    rows = docs.where((F.col("declared") != "") & (F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)))
+    quota = max(TRAIN_DOCS // len(languages), LEAST_TRAIN_DOCS)
+    shares = F.split(F.lit(",".join(repr(min(1.0, quota / n)) for n in languages.values())), ",").cast("array<double>")
+    names = F.split(F.lit(",".join(languages)), ",")
+    share = F.get(shares, (F.array_position(names, F.col("declared")) - 1).cast("int"))
+    drawn = docs.where(F.col("declared").isNotNull() & (F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000))
+    # A group of copies is drawn as a whole or not at all, and is one text.
+    rows = drawn.groupBy("declared", F.xxhash64("text")).agg(F.first("text").alias("text"))
     index = {name: i for i, name in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,24 +142,36 @@ def train(docs: DataFrame, languages: Sequence[str], share: float, scratch: Scra
     entries = dict.fromkeys(range(len(languages)), 0) | {
         r["language"]: r["entries"] for r in seen.groupBy("language").agg(F.count("*").alias("entries")).collect()
     }
-    first, held = 0, 0
+    first, held, own = 0, 0, []
     for i, more in entries.items():
         if i > first and held + more > BLOCK_ENTRIES:
-            yield _block(seen, first, i)
+            yield _block(seen, first, i, own)
             first, held = i, 0
         held += more
-    yield _block(seen, first, len(languages))
+    yield _block(seen, first, len(languages), own)
+    yield _none_of_them(own)
+
 
+def _block(seen: DataFrame, first: int, end: int, own: list[float]) -> tuple:
+    """The models of the languages first, ..., end - 1; at most ``BLOCK_ENTRIES`` rows, or one model, come to the driver.
 
-def _block(seen: DataFrame, first: int, end: int) -> tuple:
-    """The models of the languages first, ..., end - 1; at most ``BLOCK_ENTRIES`` rows, or one model, come to the driver."""
+    ``own`` gets the mean log-probability of a trigram in each language's own sample.
+    """
     table = seen.where(F.col("language").between(first, end - 1)).toArrow()
     which, slot, n = (table.column(c).to_numpy() for c in ("language", "slot", "n"))
     order = np.lexsort((which, slot))
     which, slot, n = which[order] - first, slot[order], n[order].astype(float)
-    total = np.bincount(which, weights=n, minlength=end - first) + UNSEEN * SLOTS
+    total = np.maximum(np.bincount(which, weights=n, minlength=end - first), 1)
     starts = np.searchsorted(slot, np.arange(SLOTS + 1))
-    return starts, which, np.log(n + UNSEEN) - np.log(UNSEEN), np.log(UNSEEN) - np.log(total)
+    least = np.log(UNSEEN / SLOTS)
+    found = np.log((1 - UNSEEN) * n / total[which] + UNSEEN / SLOTS)
+    own.extend(np.bincount(which, weights=n * found, minlength=end - first) / total)
+    return starts, which, found - least, np.full(end - first, least)
+
+
+def _none_of_them(own: list[float]) -> tuple:
+    """The answer that a text is in no language: every trigram is ``MARGIN`` less likely than one of the least regular language is in its own texts."""
+    return np.zeros(SLOTS + 1, np.int64), np.empty(0, np.int64), np.empty(0), np.array([min(own) - MARGIN])
 
 
 def score(model: tuple, used: np.ndarray, times: np.ndarray) -> np.ndarray:
@@ -195,6 +223,7 @@ def text_evidence(docs: DataFrame, blocks: Iterator[tuple], n: int) -> DataFrame
                     yield pa.RecordBatch.from_arrays(
                         [*rest, *lists, letters], names=["key", "declared", "suffix", "host", "ll", "q", "letters"]
                     )
+        trim_memory()
 
     key = docs.schema["key"].dataType.simpleString()
     fields = f"key {key}, declared string, suffix string, host string, ll array<double>, q array<double>, letters bigint"
@@ -253,25 +282,30 @@ def identify(rows: DataFrame) -> DataFrame:
     out, and a row without a host has the corpus prior. ``kept`` is false for a
     text without letters and where no language has ``MIN_PROBABILITY``. A null
     or empty text has no letters: its language is what the other evidence
-    says. Every declared language is a possible answer; work and rows on disk
-    grow with their number. Ties go to the language more rows declare, then to
-    the smaller name.
-    Without any declared language, ``language`` is null and nothing is kept.
+    says. A text that is none of the languages has a null ``language``, and the
+    probability is that of none. Every declared language is a possible answer;
+    work and rows on disk grow with their number. Ties go to the language more
+    rows declare, then to the smaller name. Other forms of ``declared`` than a
+    code, with or without a region, are no declaration.
+    Without any declared language there is nothing to tell texts by:
+    ``language`` is null, and texts with letters are kept.
     Keys may be null or repeat: every row gets a row. Other columns are ignored.
     """
     spark = rows.sparkSession
     scratch = Scratch(spark, "language-id")
-    docs = rows.select("key", "text", F.lower(F.trim("declared")).alias("declared"), "suffix", "host")
+    bound_batches(spark)
+    code = F.regexp_extract(F.lower("declared"), CODE, 1)
+    docs = rows.select("key", "text", F.when(code != "", code).alias("declared"), "suffix", "host")
     declared = docs.groupBy("declared").agg(F.count("*").alias("rows"))
-    top = declared.where("declared <> ''").orderBy(F.desc("rows"), "declared").collect()
+    top = declared.where("declared IS NOT NULL").orderBy(F.desc("rows"), "declared").collect()
     languages = [r["declared"] for r in top]
     if not languages:
-        return rows.select(
-            "key", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("probability"), F.lit(False).alias("kept")
-        )
-    share = min(1.0, TRAIN_DOCS / max(sum(r["rows"] for r in top), 1))
-    n = len(languages)
-    found = scratch.settle(text_evidence(docs, train(docs, languages, share, scratch), n), "text")
+        letters = F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}")
+        return rows.select("key", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("probability"), letters.alias("kept"))
+    # The last answer is none of the languages.
+    n = len(languages) + 1
+    models = train(docs, {r["declared"]: r["rows"] for r in top}, scratch)
+    found = scratch.settle(text_evidence(docs, models, n), "text")
 
     whole = _sums(found, [], n).first()
     prior = [(s + 1.0) / (whole["rows"] + n) for s in whole["sums"]]
@@ -298,9 +332,9 @@ def identify(rows: DataFrame) -> DataFrame:
     best = F.array_max("p")
     return fused.select(
         "key",
-        F.element_at(F.array(*map(F.lit, languages)), F.array_position("p", best).cast("int")).alias("language"),
+        F.get(F.split(F.lit(",".join(languages)), ","), (F.array_position("p", best) - 1).cast("int")).alias("language"),
         best.alias("probability"),
-        ((F.col("letters") >= MIN_LETTERS) & (best >= MIN_PROBABILITY)).alias("kept"),
+        ((F.col("letters") >= MIN_LETTERS) & (best >= MIN_PROBABILITY) & (F.array_position("p", best) < n)).alias("kept"),
     )
 
 

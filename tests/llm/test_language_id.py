@@ -56,7 +56,9 @@ def test_repeated_rows_nulls_and_long_texts(spark):
 
 def test_no_declared_language_and_empty_table(spark):
     got = run(spark, [(1, "the and", None, None, None)])
-    assert got[1].language is None and not got[1].kept
+    assert got[1].language is None and got[1].kept
+    got = run(spark, [(1, "the and", "English", None, None), (2, "12", None, None, None)])
+    assert got[1].language is None and got[1].kept and not got[2].kept
     assert run(spark, []) == {}
 
 
@@ -90,7 +92,7 @@ def many_languages(n):
     letters = "abcdefghijklmnopqrstuvwxyz"
     words = [["".join(r.choice(letters) for _ in range(6)) for _ in range(8)] for _ in range(n)]
     of = [k for k in range(n) for _ in range(4 + (n - k) // 20)]
-    return [(i, " ".join(r.choice(words[k]) for _ in range(40)), f"l{k:03}", None, f"h{k // 2}.site") for i, k in enumerate(of)]
+    return [(i, " ".join(r.choice(words[k]) for _ in range(40)), f"{letters[k // 26]}{letters[k % 26]}", None, f"h{k // 2}.site") for i, k in enumerate(of)]
 
 
 def test_every_declared_language_is_an_answer(spark):
@@ -106,3 +108,41 @@ def test_blocks_of_languages_make_no_difference(spark, monkeypatch):
         monkeypatch.setattr(language_id, name, value)
     blocks = run(spark, given)
     assert all(blocks[i].language == r.language and abs(blocks[i].probability - r.probability) < 1e-9 for i, r in once.items())
+
+
+FOREIGN = {
+    "Finnish": "minä olen täällä tänään koska sataa lunta ja tuuli puhaltaa kovasti metsän yli järvelle",
+    "Chinese": "今天天气很好我们一起去公园散步然后回家吃饭看书休息明天继续工作学习",
+    "junk": "xqz wvkj qqpz zzxk jvwq kxzj pqwv zkqx vvjq xzkw qjzp wkxv",
+    "keys": "fj29dk2 k2j3h4k 9dk2jd8 kd93jf0 2kd9fj3 d9k2j4h f0k3jd9 k3j4d8f",
+}
+
+
+def test_foreign_and_junk_texts_are_rejected_and_clean_ones_kept(spark):
+    given = rows(400)
+    strange = [(1000 + i, text, None, "uk", "h1.site.en") for i, text in enumerate(FOREIGN.values())]
+    got = run(spark, given + strange)
+    assert all(got[i].kept for i, *_ in given)
+    assert [(got[i].language, got[i].kept) for i, *_ in strange] == [(None, False)] * len(strange)
+
+
+def test_regions_are_codes_and_other_names_no_declaration(spark):
+    given = [(i, text, {"en": "EN-us", "de": " de_CH"}.get(declared, declared), None, None) for i, text, declared, *_ in rows(100, 0.0)]
+    got = run(spark, given + [(500, "the and with that", "english language", None, None)])
+    assert {r.language for r in got.values()} == {"en", "de"} and got[500].language == "en"
+
+
+def test_a_rare_language_and_a_group_of_copies(spark):
+    """The common language has a hundred times the rows, and a third of them are one text."""
+    r = random.Random(3)
+    common = [(i, sentence("en", r) if i % 3 else "the river and that thing under the river", "en", None, None) for i in range(3000)]
+    rare = [(10_000 + i, sentence("de", r), "de", None, None) for i in range(30)]
+    got = run(spark, common + rare)
+    assert all(got[i].language == "de" for i, *_ in rare) and all(got[i].language == "en" for i, *_ in common)
+
+
+def test_five_hundred_languages(spark):
+    given = many_languages(500)
+    got = run(spark, given)
+    right = sum(got[i].language == declared for i, _, declared, *_ in given)
+    assert right >= 0.999 * len(given)
