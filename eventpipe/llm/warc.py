@@ -1,9 +1,11 @@
 """Deterministic sharded WARC archives, and reading them back.
 
-Records are range-sorted by page_id. Each partition writes its own files and
-begins a new one when the compressed size reaches ``ROLL_BYTES``. A file is
-written under a temporary name that holds the task attempt and then renamed to
-its final name; the bytes depend on the records alone, so a task that runs
+Records are range-sorted by page_id, then payload digest, then address. A shard
+is what lies between two multiples of ``SHARD_BYTES`` of payload in that order, so
+shards, files and their bytes depend on the records alone, not on the session,
+the cluster or the order of the input. A shard begins a new file when the
+compressed size reaches ``ROLL_BYTES``. A file is written under a temporary name
+that holds the task attempt and then renamed to its final name; a task that runs
 again, or twice at once, replaces a file by the same. The manifest of all files
 is written by Spark to a temporary folder and renamed last: an archive without
 manifest does not exist, and readers open only what the manifest lists.
@@ -17,19 +19,21 @@ from __future__ import annotations
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from eventpipe.llm.common import Scratch, join_groups
+from eventpipe.llm.common import Scratch, bound_batches, join_groups
 
 MIN_REVISIT_BYTES = 100
 ROLL_BYTES = 64 << 20
-# Payload bytes a partition gets to write.
-PARTITION_BYTES = 128 << 20
+# Payload bytes from the first record of a shard to the first of the next. The first record's page_id, digest and
+# address of each shard are what tasks need to know: some 100 bytes for each ``SHARD_BYTES``.
+SHARD_BYTES = 64 << 20
 DATE = "2024-01-01T00:00:00Z"
 READ_BYTES = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -54,6 +58,46 @@ def with_types(pages: DataFrame, scratch: Scratch, min_bytes: int = MIN_REVISIT_
     return joined.select("page_id", "url", "payload", "digest", refers.alias("refers_to"))
 
 
+def shard_bounds(rows: DataFrame, scratch: Scratch, shard_bytes: int) -> list[tuple]:
+    """Where shards begin, all but the first: (page_id, digest, url) of their first records, nulls first.
+
+    Sizes are summed up in the order of the records: within a partition of the
+    sorted table, on top of the partitions before it. Rows that are alike in all
+    three are one entry, and stay in one shard.
+    """
+    sizes = rows.groupBy("page_id", "digest", "url").agg(F.sum(F.octet_length("payload")).cast("long").alias("bytes"))
+    ordered = scratch.settle(
+        sizes.orderBy("page_id", "digest", "url").select("*", F.monotonically_increasing_id().alias("pos")), "ordered"
+    ).withColumn("part", F.shiftright("pos", 33))
+    # A row for each partition of the sort.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ordered.groupBy("part").agg(F.sum("bytes").alias("held"))
+    parts = parts.select("part", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("offset"))
+    own = Window.partitionBy("part").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.coalesce(F.sum("bytes").over(own), F.lit(0)) + F.col("offset")
+    shard = F.floor(begin / F.lit(shard_bytes))
+    first = ordered.join(F.broadcast(parts), "part").withColumn("shard", shard).groupBy("shard").agg(F.min(F.struct("page_id", "digest", "url")).alias("first"))
+    return [tuple(r["first"]) for r in first.where("shard > 0").orderBy("shard").collect()]
+
+
+def _place(page_id, digest: str, url: str | None) -> tuple:
+    """Sorts as Spark does, nulls first."""
+    return page_id is not None, page_id, digest, url is not None, url
+
+
+def _shard_of(bounds: list[tuple], spark: SparkSession):
+    """The number of the shard of a record."""
+    places = spark.sparkContext.broadcast([_place(*b) for b in bounds])
+
+    @F.arrow_udf("int")
+    def shard(page_id: pa.Array, digest: pa.Array, url: pa.Array) -> pa.Array:
+        known = places.value
+        rows = zip(*(column.to_pylist() for column in (page_id, digest, url)), strict=True)
+        return pa.array([bisect_right(known, _place(*row)) for row in rows], pa.int32())
+
+    return shard
+
+
 def record_id(page_id: str | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}/{digest}')}>"
 
@@ -128,7 +172,9 @@ class Shard:
         self.files.delete_file(self.temporary)
 
 
-def write_archive(pages: DataFrame, folder: str, scratch: Scratch, roll_bytes: int = ROLL_BYTES) -> DataFrame:
+def write_archive(
+    pages: DataFrame, folder: str, scratch: Scratch, roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES
+) -> DataFrame:
     """Write ``pages`` (page_id, url, html, more) as WARC files below ``folder``; the committed manifest.
 
     A null html is an empty payload, a null url has no target, a page without
@@ -142,22 +188,22 @@ def write_archive(pages: DataFrame, folder: str, scratch: Scratch, roll_bytes: i
     files = final.getFileSystem(spark._jsc.hadoopConfiguration())
     if files.exists(final):
         raise OSError(f"there is an archive in {folder} already")
-    size = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    shards = max(1, -(-size // PARTITION_BYTES), spark.sparkContext.defaultParallelism if size > (32 << 20) else 1)
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context = TaskContext.get()
-        part, attempt, files, shard = context.partitionId(), context.taskAttemptId(), [], None
+        attempt, files, shard, now, rolled = TaskContext.get().taskAttemptId(), [], None, None, 0
         try:
             for batch in batches:
                 for i in range(batch.num_rows):
-                    page_id, url, payload, digest, refers_to = (c[i].as_py() for c in batch.columns)
+                    number, page_id, url, payload, digest, refers_to = (c[i].as_py() for c in batch.columns)
+                    if number != now:
+                        if shard is not None:
+                            files.append(shard.commit())
+                        shard, now, rolled = None, number, 0
                     if shard is None:
-                        shard = Shard(folder, f"part-{part:05d}-{len(files):05d}.warc.gz", attempt)
+                        shard = Shard(folder, f"part-{number:06d}-{rolled:05d}.warc.gz", attempt)
                     shard.add(page_id, record_bytes(page_id, url, payload, digest, refers_to))
                     if shard.bytes >= roll_bytes:
                         files.append(shard.commit())
-                        shard = None
+                        shard, rolled = None, rolled + 1
             if shard is not None:
                 files.append(shard.commit())
                 shard = None
@@ -170,7 +216,14 @@ def write_archive(pages: DataFrame, folder: str, scratch: Scratch, roll_bytes: i
             [pa.array(c, k) for c, k in zip(columns, kinds)], names=["file", "first_page", "records", "bytes", "sha256"]
         )
 
-    ordered = with_types(pages, scratch).repartitionByRange(shards, "page_id").sortWithinPartitions("page_id", "digest")
+    payload = F.coalesce("html", F.lit("")).cast("binary")
+    rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("digest", F.sha2("payload", 256))
+    bounds = shard_bounds(rows, scratch, shard_bytes)
+    bound_batches(spark)
+    typed = with_types(pages, scratch).withColumn("shard", _shard_of(bounds, spark)("page_id", "digest", "url"))
+    # Where Spark draws its own bounds is open; shards stay whole, and files are named after them.
+    ordered = typed.repartitionByRange(len(bounds) + 1, "shard").sortWithinPartitions("shard", "page_id", "digest", "url")
+    ordered = ordered.select("shard", "page_id", "url", "payload", "digest", "refers_to")
     ordered.mapInArrow(write, MANIFEST).write.mode("overwrite").parquet(f"{folder}/manifest.tmp")
     if not files.rename(paths.Path(f"{folder}/manifest.tmp"), final):
         raise OSError(f"the manifest of {folder} was not committed")

@@ -1,5 +1,8 @@
 import gzip
 import hashlib
+import os
+import subprocess
+import sys
 
 import pytest
 
@@ -53,6 +56,46 @@ def test_the_same_pages_make_the_same_bytes(spark):
     assert a == b
 
 
+SHARDED = [(i // 3 if i % 7 else None, f"http://h/{i % 5}" if i % 11 else None, f"{i % 40} é " * (50 + i % 90)) for i in range(300)] + [(5, "u", "same")] * 9
+
+
+def manifest_of(spark, frame):
+    manifest = write_archive(frame, Scratch(spark, "test-warc").path, Scratch(spark, "test-warc"), shard_bytes=20_000)
+    return sorted((r.file, r.records, r.bytes, r.sha256) for r in manifest.collect())
+
+
+def test_shards_depend_on_the_pages_alone(spark):
+    """Other partitions, another order of the input, another session, another number of cores."""
+    frame = spark.createDataFrame(SHARDED, KIND)
+    first = manifest_of(spark, frame)
+    assert len(first) > 5 and sum(r[1] for r in first) == len(SHARDED)
+    assert manifest_of(spark, frame.repartition(7).sortWithinPartitions("html")) == first
+    other = spark.newSession()
+    other.conf.set("spark.sql.shuffle.partitions", "13")
+    assert manifest_of(other, other.createDataFrame(SHARDED[::-1], KIND)) == first
+    code = (
+        "import sys; sys.path[:0] = sys.argv[1:]\n"
+        "from eventpipe.session import build_session\n"
+        "spark = build_session('two', 'local[2]', 3, {'spark.ui.enabled': 'false', 'spark.ui.showConsoleProgress': 'false'})\n"
+        "import test_warc as t\n"
+        "print('rows', t.manifest_of(spark, spark.createDataFrame(t.SHARDED, t.KIND)))\n"
+    )
+    here = os.path.dirname(os.path.abspath(__file__))
+    run = subprocess.run([sys.executable, "-c", code, here, os.path.dirname(os.path.dirname(here))], capture_output=True, text=True, timeout=300)
+    assert run.stdout.strip().splitlines()[-1] == f"rows {first}", run.stderr[-2000:]
+
+
+def test_one_page_id_is_spread(spark):
+    for page_id in (None, 7):
+        rows = [(page_id, f"http://h/{i}", f"page {i} " * 100) for i in range(200)]
+        manifest = manifest_of(spark, spark.createDataFrame(rows, KIND))
+        assert len(manifest) > 5 and max(r[1] for r in manifest) < 40
+
+
+def test_sharded_round_trip(spark):
+    assert trip(spark, SHARDED, shard_bytes=20_000)[2] == brute_force(SHARDED)
+
+
 def test_files_outside_the_manifest_are_not_read(spark):
     folder, _, read = trip(spark, ROWS)
     open(f"{folder}/part-99999-00000.warc.gz", "wb").write(b"junk")
