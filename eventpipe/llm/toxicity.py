@@ -7,9 +7,11 @@ before it and a verb of reported speech take away. Their composition is one
 transducer over the tuples of their states; a clause scores the sum of its
 weights, and nothing outside matched clauses counts.
 
-Insults are learned as word stems from the labelled documents of one half of
-the training fold, the weights of a document's score by logistic regression
-from the other half. Scores read nothing but the text.
+Insults are learned as word stems from the labelled documents of the training
+fold. The weights of a document's score come from logistic regression over the
+same documents, each half of them read with the stems of the other, so that no
+document is read with stems that it has taught; the score is then shifted so
+that ``THRESHOLD`` parts these documents best. Scores read nothing but the text.
 """
 
 from __future__ import annotations
@@ -50,7 +52,9 @@ WORDS = {
     AUXILIARY: "will gonna shall should must werde wirst sollte vais devrait voy debería",
 }
 CLAUSE = re.compile(r"[.!?;:,()\[\]{}\"“”«»\n]+")
-WORD = re.compile(r"[^\W\d_]+")
+# A word with its apostrophes ("isn't", "don’t"); elided words before one ("l'", "qu'") stand for themselves.
+WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+ELIDED = frozenset("l d j t s m n c qu lorsqu puisqu jusqu".split())
 
 State = tuple
 Rule = dict[tuple[int, int], tuple[int, float]]
@@ -69,9 +73,9 @@ class Transducer:
 
 # An insult counts wherever it stands.
 INSULTS = Transducer({(0, INSULT): (0, 1.0)}, {})
-# A threat counts after "will" and the like, or once it meets its target.
+# A threat counts once it meets its target, and for more after "will" and the like; killing a process is none.
 THREATS = Transducer(
-    {(0, AUXILIARY): (1, 0.0), (1, THREAT): (2, 1.0), (0, THREAT): (3, 0.0), (3, TARGET): (2, 1.0), (2, TARGET): (2, 0.5)},
+    {(0, AUXILIARY): (1, 0.0), (1, THREAT): (2, 0.0), (2, TARGET): (1, 1.5), (0, THREAT): (3, 0.0), (3, TARGET): (0, 1.0)},
     {},
 )
 # A target before an insult, or within three words after it, adds once for each insult.
@@ -79,14 +83,17 @@ TARGETS = Transducer(
     {
         (0, TARGET): (1, 0.0), (1, INSULT): (1, 0.5),
         (0, INSULT): (2, 0.0), (2, TARGET): (1, 0.5), (3, TARGET): (1, 0.5), (4, TARGET): (1, 0.5),
-        (3, INSULT): (2, 0.0), (4, INSULT): (2, 0.0),
+        (2, INSULT): (2, 0.0), (3, INSULT): (2, 0.0), (4, INSULT): (2, 0.0),
     },
     {2: 3, 3: 4, 4: 0},
 )
 # A negation reaches three words; what it reaches counts for little.
 NEGATIONS = Transducer(
-    {(s, NEGATION): (1, 0.0) for s in range(4)}
-    | {(s, k): (min(s + 1, 3) if s < 3 else 0, -0.8) for s in (1, 2, 3) for k in (INSULT, THREAT)},
+    {(s, NEGATION): (1, 0.0) for s in range(5)}
+    | {(s, INSULT): (s + 1 if s < 3 else 0, -0.8) for s in (1, 2, 3)}
+    # A threat that is negated is none, whatever target follows.
+    | {(s, THREAT): (4, 0.0) for s in (1, 2, 3)}
+    | {(4, TARGET): (0, -1.5)},
     {1: 2, 2: 3, 3: 0},
 )
 # After a verb of reported speech the clause speaks of others' words.
@@ -117,6 +124,20 @@ class Grammar:
     weights: tuple[float, ...] = ()
 
 
+def words_of(clause: str) -> list[str]:
+    """Words of a lower-case clause, apostrophes taken out of them."""
+    words = []
+    for word in WORD.findall(clause):
+        if "'" not in word and "’" not in word:
+            words.append(word)
+            continue
+        parts = word.replace("’", "'").split("'")
+        while len(parts) > 1 and parts[0] in ELIDED:
+            words.append(parts.pop(0))
+        words.append("".join(parts))
+    return words
+
+
 class Reader:
     """Reads texts by one grammar within a worker."""
 
@@ -153,7 +174,7 @@ class Reader:
         best = total = 0.0
         n_words = 0
         for clause in CLAUSE.split(text.lower()):
-            words = WORD.findall(clause)
+            words = words_of(clause)
             n_words += len(words)
             kinds = {self.kind(w)[0] for w in words}
             if INSULT in kinds or THREAT in kinds:
@@ -181,35 +202,30 @@ def training_rows(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataF
 def learn_stems(rows: DataFrame) -> dict[str, float]:
     """Stems that are far more frequent in toxic documents, with their log-odds from 0 to 1.
 
-    One aggregate over the stems of each document: occurrences against all
-    words of its kind, so a stem that others use now and then still counts.
+    One aggregate over the stems of each document: documents that have a stem
+    against all of their kind, so one that repeats a word counts once, and so do
+    copies.
     """
     words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
     least = [F.array_min(F.transform("words", lambda w, i=i: F.xxhash64(F.lit(i), w))) for i in (1, 2)]
     seen = rows.select("toxic", words.alias("words")).withColumn("group", F.xxhash64(*least))
-    totals = {r["toxic"]: r for r in seen.groupBy("toxic").agg(F.countDistinct("group").alias("groups"), F.sum(F.size("words")).alias("words")).collect()}
+    totals = {r["toxic"]: r for r in seen.groupBy("toxic").agg(F.countDistinct("group").alias("groups")).collect()}
     if set(totals) != {0, 1}:
         return {}
     counted = (
         seen.select("toxic", "group", F.explode("words").alias("word"))
-        .groupBy("toxic", "group", "word")
-        .agg(F.count("*").alias("n"))
-        .select("toxic", "group", "word", "n", F.explode(F.array(*map(F.lit, STEM_CHARS))).alias("chars"))
+        .distinct()
+        .select("toxic", "group", "word", F.explode(F.array(*map(F.lit, STEM_CHARS))).alias("chars"))
         .where(F.char_length("word") >= F.col("chars"))
-        .select("toxic", "group", "n", F.substr("word", F.lit(1), F.col("chars")).alias("stem"))
-        .groupBy("toxic", "group", "stem")
-        .agg(F.sum("n").alias("n"))
+        .select("toxic", "group", F.substr("word", F.lit(1), F.col("chars")).alias("stem"))
+        .distinct()
         .groupBy("stem")
-        .agg(
-            F.sum("toxic").alias("groups"),
-            F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
-            F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b"),
-        )
+        .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
         .withColumn(
             "odds",
-            F.log((F.col("a") + 0.5) / totals[1]["words"]) - F.log((F.col("b") + 0.5) / totals[0]["words"]),
+            F.log((F.col("a") + 0.5) / (totals[1]["groups"] + 1)) - F.log((F.col("b") + 0.5) / (totals[0]["groups"] + 1)),
         )
-        .where(F.col("groups") >= max(MIN_STEM_DOCS, MIN_STEM_SHARE * totals[1]["groups"]))
+        .where(F.col("a") >= max(MIN_STEM_DOCS, MIN_STEM_SHARE * totals[1]["groups"]))
         .where(F.col("odds") >= MIN_STEM_LOG_ODDS)
         .orderBy(F.desc("odds"), "stem")
         .limit(MAX_STEMS)
@@ -257,17 +273,36 @@ def learn(docs: DataFrame, labels: DataFrame) -> Grammar:
     """
     scratch = Scratch(docs.sparkSession, "toxicity")
     rows = scratch.settle(training_rows(docs, labels, scratch), "rows")
-    grammar = Grammar(learn_stems(rows.where("half")))
-    seen = with_features(rows.where("NOT half"), grammar, "toxic").collect()
+    seen = []
+    for half in (F.col("half"), ~F.col("half")):
+        other = Grammar(learn_stems(rows.where(half)))
+        seen += with_features(rows.where(~half), other, "toxic").collect()
+    grammar = Grammar(learn_stems(rows))
     scratch.remove()
-    y = np.array([r["toxic"] for r in seen], dtype=float)
+    # Copies of a document give the same features many times; each kind of them counts once.
+    kinds = sorted({(r["toxic"], tuple(r["f"])) for r in seen})
+    y = np.array([toxic for toxic, _ in kinds], dtype=float)
     if 0 < y.sum() < len(y):
-        weights = fit(np.array([r["f"] for r in seen]), y)
+        x = np.array([f for _, f in kinds])
+        weights = fit(x, y)
         if weights[1:].any():
+            weights[0] += math.log(THRESHOLD / (1 - THRESHOLD)) - best_cut(x @ weights, y)
             return Grammar(grammar.stems, tuple(weights.tolist()))
     return Grammar(grammar.stems, FIXED_WEIGHTS)
 
 
+def best_cut(scores: np.ndarray, y: np.ndarray) -> float:
+    """The value between two scores that parts the toxic from the others with the largest F1; of equals the middle one."""
+    order = np.argsort(-scores, kind="stable")
+    ranked, hits = scores[order], np.cumsum(y[order])
+    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    ends = np.append(ranked[:-1] > ranked[1:], True)  # a cut parts no equal scores
+    best = np.flatnonzero(ends & (f1 >= f1[ends].max() - 1e-12))
+    at = best[len(best) // 2]
+    below = ranked[at + 1] if at + 1 < len(ranked) else ranked[at] - 1.0
+    return float((ranked[at] + below) / 2)
+
+
 def score_toxicity(docs: DataFrame, grammar: Grammar) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs`` (doc_id, text, more).
 
