@@ -9,20 +9,26 @@ Documents are long, so they have no signatures of their own: each looks its
 shingles up in the items' signatures, and its size rules out items too large
 for it. Candidates are verified by exact containment.
 
+An item of fewer than five words is one shingle of its own width, and texts are
+cut into shingles of the widths that such items have as well.
+
 One pass over the texts keeps only shingles that may be an item's: a table of
-the hash slots the items use is broadcast, of ``SLOTS`` rows at most whatever
-the number of items. Only DataFrame functions are used.
+the hash slots the items use is broadcast. There are eight slots for each
+shingle of the items, ``MOST_SLOTS`` at most whatever their number. Only
+DataFrame functions are used.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventpipe.llm.common import Scratch, join_groups
 
 SHINGLE_WORDS = 5
 CONTAINMENT_PERCENT = 80
-SLOTS = 1 << 20
+LEAST_SLOTS, MOST_SLOTS = 1 << 20, 1 << 22
 LEAST_HASHES = 8
 
 
@@ -31,22 +37,27 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def with_shingles(frame: DataFrame, *keep: Column) -> DataFrame:
-    """``keep`` and ``shingles``: distinct hashes of all runs of five words.
+def with_shingles(frame: DataFrame, *keep: Column, widths: Sequence[int] = ()) -> DataFrame:
+    """``keep`` and ``shingles``: distinct hashes of all runs of five words, and of as many as ``widths`` say.
 
     With fewer words it is the whole sequence, without words none. The words
     go through a one-row generator, as they would be cut anew for every shingle.
     """
     words = F.col("words")
-    runs = F.transform(
-        F.sequence(F.lit(1), F.size(words) - SHINGLE_WORDS + 1),
-        lambda i: F.xxhash64(F.slice(words, i, F.lit(SHINGLE_WORDS))),
-    )
+    nothing = F.array().cast("array<bigint>")
+
+    def runs(width: int) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.size(words) - width + 1), lambda i: F.xxhash64(F.slice(words, i, F.lit(width)))
+        )
+
     shingles = (
-        F.when(F.size(words) >= SHINGLE_WORDS, F.array_distinct(runs))
+        F.when(F.size(words) >= SHINGLE_WORDS, F.array_distinct(runs(SHINGLE_WORDS)))
         .when(F.size(words) > 0, F.array(F.xxhash64(words)))
-        .otherwise(F.array().cast("array<bigint>"))
+        .otherwise(nothing)
     )
+    for width in widths:
+        shingles = F.array_union(shingles, F.when(F.size(words) >= width, runs(width)).otherwise(nothing))
     cut = frame.select(*keep, F.explode(F.array(words_of(F.col("text")))).alias("words"))
     return cut.select(*[c for c in cut.columns if c != "words"], F.explode(F.array(shingles)).alias("shingles"))
 
@@ -72,8 +83,14 @@ def item_classes(items: DataFrame) -> DataFrame:
     return sized.withColumn("signature", F.when(whole, F.col("shingles")).otherwise(F.array_distinct(least)))
 
 
-def slot(h: Column) -> Column:
-    return F.pmod(h, F.lit(SLOTS)).cast("int")
+def slot(h: Column, slots: int) -> Column:
+    return F.pmod(h, F.lit(slots)).cast("int")
+
+
+def short_widths(items: DataFrame) -> list[int]:
+    """The numbers of words, below five, that items have: four at most."""
+    sizes = items.select(F.size(words_of(F.col("text"))).alias("n")).where(f"n > 0 AND n < {SHINGLE_WORDS}").distinct()
+    return sorted(r["n"] for r in sizes.collect())
 
 
 def contaminated(docs: DataFrame, items: DataFrame, percent: int = CONTAINMENT_PERCENT) -> DataFrame:
@@ -82,8 +99,8 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = CONTAINMENT_P
     ``docs`` has (doc_id, text, more), ``items`` (item_id, text, more). A leak
     is a document that holds at least ``percent`` of an item's distinct
     shingles of five words. Items with equal shingle sets are one, under their
-    smallest id, ``n_items`` of them. An item of fewer words leaks only into a
-    document of the same few words. Null and empty texts have no words and
+    smallest id, ``n_items`` of them. An item of fewer words leaks into a
+    document that holds them in a row. Null and empty texts have no words and
     never leak. Rows that share a doc_id are looked at each, and a leak of
     several counts once, by the largest share; a null doc_id is reported as
     null, and so is an item without id. Either table may be empty: then nothing leaks. Other columns are
@@ -105,12 +122,14 @@ def leaking_rows(docs: DataFrame, items: DataFrame, percent: int = CONTAINMENT_P
     """
     scratch = Scratch(docs.sparkSession, "decontaminate")
     classes = scratch.settle(item_classes(items), "items")
-    slots = classes.select(F.explode("shingles").alias("h")).select(slot(F.col("h")).alias("slot")).distinct()
-    seen = with_shingles(docs, F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
+    held = classes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    n_slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (8 * held).bit_length()))
+    slots = classes.select(F.explode("shingles").alias("h")).select(slot(F.col("h"), n_slots).alias("slot")).distinct()
+    seen = with_shingles(docs, F.col("doc_id"), F.xxhash64("text").alias("text_hash"), widths=short_widths(items))
     seen = seen.select("doc_id", "text_hash", F.size("shingles").alias("n"), F.explode("shingles").alias("h"))
-    # At most SLOTS rows of one int.
+    # At most MOST_SLOTS rows of one int.
     hits = scratch.settle(
-        seen.join(F.broadcast(slots), slot(F.col("h")) == F.col("slot"), "left_semi"), "hits"
+        seen.join(F.broadcast(slots), slot(F.col("h"), n_slots) == F.col("slot"), "left_semi"), "hits"
     )
     signatures = classes.select("item", "size", F.explode("signature").alias("h"))
     holders = hits.groupBy("h").agg(F.count("*").alias("holders"))
@@ -153,11 +172,10 @@ words AS (
   SELECT is_item, r, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
   FROM texts
 ),
+widths AS (SELECT DISTINCT len(w) AS k FROM words WHERE is_item AND len(w) BETWEEN 1 AND 4 UNION SELECT 5),
 shingles AS (
-  SELECT DISTINCT is_item, r, id, unnest(CASE WHEN len(w) >= 5
-    THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))
-    WHEN len(w) > 0 THEN [array_to_string(w, ' ') || ' .'] ELSE [] END) AS s
-  FROM words
+  SELECT DISTINCT is_item, r, id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS s
+  FROM words, widths WHERE len(w) >= k AND (NOT is_item OR k = least(len(w), 5))
 ),
 sets AS (SELECT r, any_value(id) AS id, list(s ORDER BY s) AS own FROM shingles WHERE is_item GROUP BY r),
 items AS (SELECT min(id) AS item_id, count(*) AS n_items, own FROM sets GROUP BY own),

@@ -1,9 +1,10 @@
 """Token counts by a two-tier lookup on the map side.
 
 Tier one is a compact hash table of the most frequent pre-tokens and their
-lengths in tokens, broadcast to all tasks. It comes from a count over all
-texts: each task counts within bounded memory and hands on its ``TASK_WORDS``
-most frequent pre-tokens. Tier two is a cache in each Python worker; what it
+lengths in tokens, broadcast to all tasks. It comes from a sample of about
+``SAMPLE_DOCS`` documents by hash of their ids: each task counts within bounded
+memory and hands on its most frequent pre-tokens, ``SAMPLE_WORDS`` over all
+tasks. Tier two is a cache in each Python worker; what it
 misses is encoded by the tokenizer's own library. Pre-tokens themselves are
 never shuffled, and the table decides only the speed, never a count.
 
@@ -27,10 +28,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventpipe.llm.byte_bpe import slices, space_chunks
+from eventpipe.llm.common import bound_batches, trim_memory
 
 LIMIT = 1024
 TABLE_WORDS = 32_768
-TASK_WORDS = 8_192
+SAMPLE_DOCS = 4_000
+# Words that all tasks of the sample hand on together; each may hand on ``LEAST_TASK_WORDS`` at least.
+SAMPLE_WORDS, LEAST_TASK_WORDS = 262_144, 16
 COUNTED_WORDS = 262_144
 CACHE_WORDS = 400_000
 CACHE_CHARS = 32_000_000
@@ -38,7 +42,7 @@ CACHE_CHARS = 32_000_000
 KEPT_CHARS = 64
 
 
-def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def count_words(batches: Iterator[pa.RecordBatch], most: int = SAMPLE_WORDS) -> Iterator[pa.RecordBatch]:
     """The most frequent words after a space of one partition; lossy counting within ``COUNTED_WORDS``."""
     counts: Counter = Counter()
     for batch in batches:
@@ -47,17 +51,22 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 counts.update(space_chunks(text)[1:])
             if len(counts) > COUNTED_WORDS:
                 counts = Counter(dict(counts.most_common(COUNTED_WORDS // 2)))
-    top = [(w, n) for w, n in counts.most_common(TASK_WORDS) if len(w) <= KEPT_CHARS]
+    top = [(w, n) for w, n in counts.most_common(most) if len(w) <= KEPT_CHARS]
     yield pa.RecordBatch.from_arrays(
         [pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["word", "n"]
     )
 
 
 def frequent_words(docs: DataFrame, words: int = TABLE_WORDS) -> list[str]:
-    """At most ``words`` words that follow a space most often; ties to the smaller."""
-    counted = docs.select("text").mapInArrow(count_words, "word string, n bigint")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words)
-    return [row["word"] for row in top.collect()]
+    """At most ``words`` words that follow a space most often in a sample; ties to the smaller. Nothing is shuffled."""
+    share = min(1.0, SAMPLE_DOCS / max(docs.count(), 1))
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000).select("text")
+    most = max(LEAST_TASK_WORDS, SAMPLE_WORDS // max(sample.rdd.getNumPartitions(), 1))
+    counted = sample.mapInArrow(lambda batches: count_words(batches, most), "word string, n bigint").toArrow()
+    total: Counter = Counter()
+    for word, n in zip(counted.column("word").to_pylist(), counted.column("n").to_pylist()):
+        total[word] += n
+    return [word for word, _ in sorted(total.items(), key=lambda item: (-item[1], item[0]))[:words]]
 
 
 class LengthTable:
@@ -183,11 +192,13 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
 
     A null or empty text has no bytes and no tokens. Repeated rows are counted
     each, a null doc_id stays null, other columns are ignored; an empty table
-    gives an empty one.
+    gives an empty one. A text may have any length; texts come to a worker a few
+    megabytes at a time, or one by one.
     """
     import public_tokenizers
 
     path = path or public_tokenizers.path("byte_bpe_50k.json")
+    bound_batches(docs.sparkSession)
     table = None
     if not path.endswith(".model") and (own := ByteLevel(path)).splits:
         words = frequent_words(docs)
@@ -206,6 +217,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
                     [batch.column(0).slice(start, len(texts)), pc.cast(size, pa.int64()), n],
                     names=["doc_id", "n_bytes", "n_tokens"],
                 )
+        trim_memory()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     counted = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_tokens bigint")

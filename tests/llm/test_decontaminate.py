@@ -7,10 +7,16 @@ PASSAGE = "the quick brown fox jumps over the lazy dog while seven wizards mix a
 
 
 def sets_of(text):
+    """Of an item: runs of five words, or all of fewer."""
     words = re.findall(r"[^\W_]+", (text or "").lower())
-    if len(words) < 5:
-        return {("whole", *words)} if words else set()
-    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+    width = min(len(words), 5)
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} if words else set()
+
+
+def runs_of(text):
+    """Of a document: runs of one to five words."""
+    words = re.findall(r"[^\W_]+", (text or "").lower())
+    return {tuple(words[i : i + width]) for width in range(1, 6) for i in range(len(words) - width + 1)}
 
 
 def brute_force(docs, items):
@@ -22,7 +28,7 @@ def brute_force(docs, items):
     for s, ids in classes.items():
         item = min((i for i in ids if i is not None), default=None)
         for d, t in docs:
-            n = len(s & sets_of(t))
+            n = len(s & runs_of(t))
             if n * 100 >= len(s) * 80:
                 key = (d, item, len(ids), len(s))
                 best[key] = max(n, best.get(key, 0))
@@ -60,3 +66,12 @@ def test_clashing_extra_columns(spark):
     docs = spark.createDataFrame([(1, PASSAGE, 3, "x")], DOCS + ", item_id int, h string")
     items = spark.createDataFrame([(7, PASSAGE, 1)], ITEMS + ", size int")
     assert [(r.doc_id, r.item_id) for r in contaminated(docs, items).collect()] == [(1, 7)]
+
+
+def test_short_items_in_long_documents(spark):
+    filler = " ".join(f"word{i}" for i in range(3000))
+    items = [(1, "forty two"), (2, "Answer!"), (3, "one two three four"), (4, "a b c"), (5, PASSAGE), (6, "forty-two"), (7, "absent words")]
+    docs = [(10, f"{filler} forty two {filler}"), (11, f"{filler} the ANSWER"), (12, "one two three four five"), (13, "b c a b"), (14, "a b c"),
+            (15, f"two forty {filler}"), (16, f"{PASSAGE} answer"), (17, "answer"), (18, ""), (19, None), (20, "forty"), (None, "forty two")]
+    assert run(spark, docs, items) == brute_force(docs, items)
+    assert len(run(spark, docs, items)) >= 9

@@ -7,7 +7,7 @@ P = pytest.importorskip("public_tokenizers")
 
 from tokenizers import Tokenizer  # noqa: E402
 
-from eventpipe.llm import byte_bpe  # noqa: E402
+from eventpipe.llm import byte_bpe, token_counts  # noqa: E402
 from eventpipe.llm.byte_bpe import Coder, encode_decode, pack  # noqa: E402
 from eventpipe.llm.token_counts import ByteLevel, count_tokens, count_words  # noqa: E402
 
@@ -129,3 +129,21 @@ def test_words_are_counted_within_bounds():
     batch = pa.RecordBatch.from_arrays([pa.array(["a b b c", None, "x b"])], names=["text"])
     out = next(count_words(iter([batch]))).to_pydict()
     assert dict(zip(out["word"], out["n"])) == {"b": 3, "c": 1}
+
+
+def test_the_table_comes_from_a_sample_without_a_shuffle(spark, monkeypatch):
+    docs = spark.range(500).selectExpr("id AS doc_id", "concat('a common word and ', id) AS text").repartition(7)
+    words = token_counts.frequent_words(docs, 4)
+    assert sorted(words) == ["and", "common", "word"] + [w for w in words if w.isdigit()]
+    monkeypatch.setattr(token_counts, "SAMPLE_DOCS", 100)
+    assert set(token_counts.frequent_words(docs, 3)) == {"and", "common", "word"}
+    assert token_counts.frequent_words(docs.limit(0)) == []
+    plan = count_tokens(docs, P.path("byte_bpe_50k.json"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1  # that of this test's repartition
+
+
+def test_counts_of_a_very_long_text(spark):
+    text = "it is a long text, 漢字 and all; " * 30_000
+    [row] = count_tokens(spark.createDataFrame([(1, text)], KIND)).collect()
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    assert (row.n_bytes, row.n_tokens) == (len(text.encode()), len(library.encode(text, add_special_tokens=False).ids))
