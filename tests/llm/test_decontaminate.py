@@ -74,4 +74,4 @@ def test_short_items_in_long_documents(spark):
     docs = [(10, f"{filler} forty two {filler}"), (11, f"{filler} the ANSWER"), (12, "one two three four five"), (13, "b c a b"), (14, "a b c"),
             (15, f"two forty {filler}"), (16, f"{PASSAGE} answer"), (17, "answer"), (18, ""), (19, None), (20, "forty"), (None, "forty two")]
     assert run(spark, docs, items) == brute_force(docs, items)
-    assert len(run(spark, docs, items)) >= 9
+    assert len(run(spark, docs, items)) == 8
