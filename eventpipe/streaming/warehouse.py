@@ -9,7 +9,7 @@ from eventpipe.operators.images import stored_objects
 from eventpipe.operators.objects import current_objects
 from eventpipe.operators.upsert import latest_per_key
 from eventpipe.operators.totals import summed_totals
-from eventpipe.plans.adhoc import register_views, run_sql
+from eventpipe.plans.adhoc import register_views, run_sql, run_sql_file
 from eventpipe.plans.backfill import ROW_FIRST, ROW_KEYS, ROW_ORDER
 from eventpipe.streaming.tables import GRACE_SECONDS, BatchTable, KeyedTable
 
@@ -76,6 +76,11 @@ class Warehouse:
         self.register_views()
         return run_sql(self.spark, text)
 
+    def sql_file(self, path: str) -> list[DataFrame]:
+        """Run the statements of a file over the tables as they are at this moment."""
+        self.register_views()
+        return run_sql_file(self.spark, path)
+
     def compact(self) -> None:
         """Snapshots of the keyed tables; small files of the others put together."""
         for table in (self.events_table, self.counts_table):

@@ -222,6 +222,16 @@ def test_inserted_at_stays_that_of_the_first_insert(feed, warehouse, tmp_path):
     assert warehouse.processed_events().first().inserted_at == first
 
 
+def test_a_sql_file_sees_the_tables_as_they_are(feed, warehouse, tmp_path):
+    path = tmp_path / "n.sql"
+    path.write_text("SELECT count(*) AS n FROM processed_events;\n-- all\nSELECT coalesce(max(event_count), 0) AS most FROM event_type_counts_5m;\n")
+    for n in (1, 2):
+        feed.put(data(n, n))
+        start_rows(feed.stream(), warehouse, fetch(), str(tmp_path / "cp"), ONCE).awaitTermination()
+        rows_now, most = warehouse.sql_file(str(path))
+        assert (rows_now.first().n, most.first().most) == (n, 0)
+
+
 def test_strict_mode_stops_the_stream(feed, warehouse, tmp_path):
     feed.put(data(1, 1), "junk")
     query = start_counts(feed.stream(), warehouse, str(tmp_path / "cp"), ONCE, strict=True)
