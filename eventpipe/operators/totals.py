@@ -42,22 +42,23 @@ class RowTotals(StatefulProcessor):
                 total[i] += n
 
         for batch in rows:
-            for id, changes in batch.groupby("id", sort=False):
-                known = self.rows.getValue((id,)) if self.rows.containsKey((id,)) else None
+            changes: dict[str, list] = {}
+            for row in zip(*(batch[c].tolist() for c in ("id", "hour_micros", "event_type", "object_key", *_PLACE)), strict=True):
+                changes.setdefault(row[0], []).append(row[1:])
+            for id, versions in changes.items():
+                known = self.rows.getValue((id,))
                 place, hour, kind, object_key, keys = known or (None, None, None, None, [])
                 keys = list(keys)
-                before = len(keys)
-                old = (hour, kind, object_key)
-                for row in changes.sort_values(_PLACE).itertuples():
-                    if row.object_key is not None and row.object_key not in keys:
-                        keys.append(row.object_key)
-                    at = [row.src_micros, row.src_partition, row.src_offset]
+                before, old = len(keys), (hour, kind, object_key)
+                for hour_now, kind_now, key_now, *at in sorted(versions, key=lambda v: v[3:]):
+                    if key_now is not None and key_now not in keys:
+                        keys.append(key_now)
                     if place is None or at >= list(place):
-                        place, hour, kind, object_key = at, row.hour_micros, row.event_type, row.object_key
+                        place, hour, kind, object_key = at, hour_now, kind_now, key_now
                 if known:
                     add(old[0], old[1], -1, -(old[1] == IMAGE and old[2] is not None), 0)
                 add(hour, kind, 1, int(kind == IMAGE and object_key is not None), len(keys) - before)
-                self.rows.updateValue((id,), (list(map(int, place)), int(hour), kind, object_key, keys))
+                self.rows.updateValue((id,), (place, hour, kind, object_key, keys))
         found = [(hour, kind, *n) for (hour, kind), n in totals.items() if any(n)]
         yield pd.DataFrame(found, columns=_COLUMNS)
 
