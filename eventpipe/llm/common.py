@@ -52,8 +52,22 @@ class Scratch:
         frame.write.mode("overwrite").parquet(target)
         return self.spark.read.schema(frame.schema).parquet(target)
 
-    def remove(self) -> None:
+    def drop(self, *names: str) -> None:
+        """Remove tables that nothing reads any more."""
+        for name in names:
+            self._delete(f"{self.path}/{name}")
+
+    def keep(self, *names: str) -> None:
+        """Remove all tables but these."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path)
+        self.drop(*[name for s in found if (name := s.getPath().getName()) not in names])
+
+    def remove(self) -> None:
+        self._delete(self.path)
+
+    def _delete(self, path: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -114,6 +128,7 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         small = _linked_to_least(down, scratch, f"small-{step}")
         up = small.select("v", "least").union(small.select("u", "least").distinct())
         now = scratch.settle(_ordered(up.toDF("a", "b")), f"edges-{step}")
+        scratch.drop(f"edges-{step - 1}", f"edges-{step}-large", f"large-{step}", f"small-{step}")
     return now.select(F.col("b").alias("node"), F.col("a").alias("component")).union(
         now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     )

@@ -114,13 +114,15 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = CONTAINMENT_P
     )
 
 
-def leaking_rows(docs: DataFrame, items: DataFrame, percent: int = CONTAINMENT_PERCENT) -> DataFrame:
+def leaking_rows(
+    docs: DataFrame, items: DataFrame, percent: int = CONTAINMENT_PERCENT, scratch: Scratch | None = None
+) -> DataFrame:
     """(doc_id, text_hash, item_id, n_items, n_item_shingles, n_shared): the leaks of each text of a doc_id.
 
     ``text_hash`` is ``xxhash64`` of the text; it tells rows apart that share a
     doc_id, or have none.
     """
-    scratch = Scratch(docs.sparkSession, "decontaminate")
+    scratch = scratch or Scratch(docs.sparkSession, "decontaminate")
     classes = scratch.settle(item_classes(items), "items")
     held = classes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     n_slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (8 * held).bit_length()))

@@ -275,7 +275,7 @@ def _evidence(frame: DataFrame, column: str, prior: list[float], scratch: Scratc
     return scratch.settle(grouped.select(column, "rows", bounded.alias(f"of_{column}")), f"by-{column}")
 
 
-def identify(rows: DataFrame) -> DataFrame:
+def identify(rows: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(key, language, probability, kept) for every row of ``rows`` (key, text, declared, suffix, host).
 
     ``declared``, ``suffix`` and ``host`` may be null; such evidence is left
@@ -292,7 +292,7 @@ def identify(rows: DataFrame) -> DataFrame:
     Keys may be null or repeat: every row gets a row. Other columns are ignored.
     """
     spark = rows.sparkSession
-    scratch = Scratch(spark, "language-id")
+    scratch = scratch or Scratch(spark, "language-id")
     bound_batches(spark)
     code = F.regexp_extract(F.lower("declared"), CODE, 1)
     docs = rows.select("key", "text", F.when(code != "", code).alias("declared"), "suffix", "host")

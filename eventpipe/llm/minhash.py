@@ -205,7 +205,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch,
     )
 
 
-def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT, size: int = SHINGLE_WORDS) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, percent: int = SIMILARITY_PERCENT, size: int = SHINGLE_WORDS, scratch: Scratch | None = None
+) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text, more).
 
     Two rows are linked if their shingle sets have at least ``percent`` of
@@ -213,9 +215,10 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT, size: in
     empty set and no links. Rows that share a doc_id are one node. A row
     without doc_id takes no part: its component is null and it is kept.
     ``component_id`` is the smallest doc_id that can be reached. Other columns
-    are ignored. An empty table gives an empty one.
+    are ignored. An empty table gives an empty one. The frame reads tables of
+    ``scratch``, a new one if none is given.
     """
-    scratch = Scratch(docs.sparkSession, "near-duplicates")
+    scratch = scratch or Scratch(docs.sparkSession, "near-duplicates")
     bound_batches(docs.sparkSession)
     rows = scratch.settle(with_sketches(docs, size), "sketches")
     classes = scratch.settle(
@@ -252,6 +255,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT, size: in
     left = scratch.settle(unlinked_pairs(members, parts, sets, percent, scratch), "left")
     more = verified(left, sets, percent, scratch, "left").where(linked).select("a", "b").distinct()
     more = scratch.settle(more, "more")
+    scratch.keep("sketches", "classes", "tried", "more")
 
     # Two rows of one doc_id may be of two classes; the id is one node all the same.
     nodes = rows.where("doc_id IS NOT NULL AND k1 IS NOT NULL").select("doc_id", "k1", "k2")
