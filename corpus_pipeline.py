@@ -34,14 +34,19 @@ def _row_key() -> Column:
 
 
 def _without(docs: DataFrame, rejected: DataFrame, on: Column, scratch: Scratch) -> DataFrame:
-    """``docs`` but those that match ``rejected``; it is settled, so Spark knows its size and may broadcast it."""
-    return docs.join(scratch.settle(rejected, "rejected").alias("rejected"), on, "left_anti")
+    """``docs`` but those that match ``rejected``; it is settled, so Spark knows its size and may broadcast it.
+
+    What led to it is removed.
+    """
+    rejected = scratch.settle(rejected, "rejected")
+    scratch.keep("rejected")
+    return docs.join(rejected.alias("rejected"), on, "left_anti")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without letters and those of no language with a probability of a half."""
     scratch = Scratch(spark, "pipeline-language")
-    found = identify(document_evidence(docs, _row_key()))
+    found = identify(document_evidence(docs, _row_key()), scratch)
     rejected = found.where(~F.col("kept")).select("key.doc_id", "key.content").distinct()
     on = docs["doc_id"].eqNullSafe(F.col("rejected.doc_id")) & (
         F.xxhash64(docs["text"], docs["lang"], docs["source"]) == F.col("rejected.content")
@@ -69,11 +74,12 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     scratch = Scratch(spark, "pipeline-near")
     content = F.xxhash64("text", "lang", "source")
     node = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", content.alias("content"))
-    nodes = scratch.settle(near_duplicates(docs.select(node.alias("doc_id"), "text"), size=SHINGLE_WORDS), "nodes")
+    nodes = scratch.settle(near_duplicates(docs.select(node.alias("doc_id"), "text"), size=SHINGLE_WORDS, scratch=scratch), "nodes")
     gone = nodes.where(~F.col("kept")).select("doc_id.doc_id", "doc_id.content").distinct()
     # Rows that are the same in id and content are one node: of these one stays.
     same = nodes.where("kept").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id.doc_id", "doc_id.content")
     gone, same = scratch.settle(gone, "gone"), scratch.settle(same, "same")
+    scratch.keep("gone", "same")
 
     def met(name: str) -> Column:
         return docs["doc_id"].eqNullSafe(F.col(f"{name}.doc_id")) & (content == F.col(f"{name}.content"))
@@ -90,7 +96,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Drops the rows whose text holds a benchmark item; others of the same doc_id, or without one too, stay."""
     scratch = Scratch(spark, "pipeline-leaks")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaked = leaking_rows(docs, items).select("doc_id", "text_hash").distinct()
+    leaked = leaking_rows(docs, items, scratch=scratch).select("doc_id", "text_hash").distinct()
     on = docs["doc_id"].eqNullSafe(F.col("rejected.doc_id")) & (F.xxhash64(docs["text"]) == F.col("rejected.text_hash"))
     return _without(docs, leaked, on, scratch)
 
