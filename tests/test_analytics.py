@@ -16,7 +16,7 @@ def at(day, hour=0, minute=0, second=0):
 
 def processed(spark, *events):
     rows = [
-        (f"id{i:03d}", kind, when, "ui", None, None, inserted, 0, i)
+        (f"id{i:03d}", kind, when, "ui", None, None, inserted, inserted, 0, i)
         for i, (kind, when, inserted) in enumerate(events)
     ]
     return spark.createDataFrame(rows, PROCESSED_EVENTS)
