@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventpipe.llm.common import bound_batches, trim_memory
 
-CACHE_WORDS = 200_000
+CACHE_WORDS = 250_000
 CACHE_CHUNKS = 150_000
 CACHE_CHARS = 8_000_000
 LONG_BYTES = 64
@@ -61,7 +61,7 @@ WITH RECURSIVE state(live, w, pos, id, after) AS (
     best AS (SELECT w, min(key) AS best FROM keyed GROUP BY w),
     cut AS (
       SELECT best IS NOT NULL AS live, w, pos, CASE WHEN key = best THEN (best >> 20)::INT ELSE id END AS id,
-        CASE WHEN lag(w) OVER () > w OR (lag(w) OVER () = w AND lag(pos) OVER () >= pos) THEN error('rows out of order')
+        CASE WHEN lag((w::BIGINT << 20) | pos) OVER () >= ((w::BIGINT << 20) | pos) THEN error('rows out of order')
           ELSE lag(key = best) OVER () END AS taken
       FROM keyed JOIN best USING (w)
     )
