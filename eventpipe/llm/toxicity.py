@@ -199,38 +199,44 @@ def training_rows(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataF
     )
 
 
-def learn_stems(rows: DataFrame) -> dict[str, float]:
-    """Stems that are far more frequent in toxic documents, with their log-odds from 0 to 1.
+def learn_stems(rows: DataFrame, scratch: Scratch) -> list[dict[str, float]]:
+    """Stems that are far more frequent in toxic documents, with their log-odds from 0 to 1: of one half, the other, and all.
 
     One aggregate over the stems of each document: documents that have a stem
     against all of their kind, so one that repeats a word counts once, and so do
     copies.
     """
-    words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
     least = [F.array_min(F.transform("words", lambda w, i=i: F.xxhash64(F.lit(i), w))) for i in (1, 2)]
-    seen = rows.select("toxic", words.alias("words")).withColumn("group", F.xxhash64(*least))
-    totals = {r["toxic"]: r for r in seen.groupBy("toxic").agg(F.countDistinct("group").alias("groups")).collect()}
-    if set(totals) != {0, 1}:
-        return {}
-    counted = (
-        seen.select("toxic", "group", F.explode("words").alias("word"))
-        .distinct()
-        .select("toxic", "group", "word", F.explode(F.array(*map(F.lit, STEM_CHARS))).alias("chars"))
-        .where(F.char_length("word") >= F.col("chars"))
-        .select("toxic", "group", F.substr("word", F.lit(1), F.col("chars")).alias("stem"))
-        .distinct()
-        .groupBy("stem")
-        .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-        .withColumn(
-            "odds",
-            F.log((F.col("a") + 0.5) / (totals[1]["groups"] + 1)) - F.log((F.col("b") + 0.5) / (totals[0]["groups"] + 1)),
+    halves = [F.max(F.col("half").cast("int")).alias("h0"), F.max((~F.col("half")).cast("int")).alias("h1")]
+    seen = rows.select("toxic", "half", words.alias("words")).withColumn("group", F.xxhash64(*least))
+    groups = seen.groupBy("toxic", "group").agg(*halves).groupBy("toxic").agg(F.sum("h0"), F.sum("h1"), F.count("*"))
+    totals = {r["toxic"]: tuple(r)[1:] for r in groups.collect()}
+    stems = F.array_distinct(
+        F.flatten(
+            F.transform("words", lambda w: F.filter(F.array(*[F.substr(w, F.lit(1), F.lit(n)) for n in STEM_CHARS]), lambda s: F.char_length(s) >= STEM_CHARS[0]))
         )
-        .where(F.col("a") >= max(MIN_STEM_DOCS, MIN_STEM_SHARE * totals[1]["groups"]))
+    )
+    found = seen.select("toxic", "half", "group", F.explode(stems).alias("stem")).groupBy("toxic", "group", "stem").agg(*halves)
+    parts = (F.col("h0"), F.col("h1"), F.lit(1))
+    sums = [F.sum(part * kind).alias(f"{name}{i}") for i, part in enumerate(parts) for name, kind in (("a", F.col("toxic")), ("b", 1 - F.col("toxic")))]
+    counted = scratch.settle(found.groupBy("stem").agg(*sums), "stems")
+    return [_strong_stems(counted, i, {kind: t[i] for kind, t in totals.items()}) for i in range(len(parts))]
+
+
+def _strong_stems(counted: DataFrame, i: int, groups: dict[int, int]) -> dict[str, float]:
+    if not (groups.get(0) and groups.get(1)):
+        return {}
+    a, b = F.col(f"a{i}"), F.col(f"b{i}")
+    odds = F.log((a + 0.5) / (groups[1] + 1)) - F.log((b + 0.5) / (groups[0] + 1))
+    strong = (
+        counted.where(a >= max(MIN_STEM_DOCS, MIN_STEM_SHARE * groups[1]))
+        .select("stem", odds.alias("odds"))
         .where(F.col("odds") >= MIN_STEM_LOG_ODDS)
         .orderBy(F.desc("odds"), "stem")
         .limit(MAX_STEMS)
     )
-    found = {row["stem"]: min(row["odds"], 6.0) / 6.0 for row in counted.collect()}
+    found = {row["stem"]: min(row["odds"], 6.0) / 6.0 for row in strong.collect()}
     # The shortest stem speaks for its longer forms.
     return {s: w for s, w in found.items() if not any(s[:n] in found for n in range(1, len(s)))}
 
@@ -273,11 +279,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> Grammar:
     """
     scratch = Scratch(docs.sparkSession, "toxicity")
     rows = scratch.settle(training_rows(docs, labels, scratch), "rows")
-    seen = []
-    for half in (F.col("half"), ~F.col("half")):
-        other = Grammar(learn_stems(rows.where(half)))
-        seen += with_features(rows.where(~half), other, "toxic").collect()
-    grammar = Grammar(learn_stems(rows))
+    first, second, every = learn_stems(rows, scratch)
+    seen = with_features(rows.where(~F.col("half")), Grammar(first), "toxic").collect()
+    seen += with_features(rows.where("half"), Grammar(second), "toxic").collect()
+    grammar = Grammar(every)
     scratch.remove()
     # Copies of a document give the same features many times; each kind of them counts once.
     kinds = sorted({(r["toxic"], tuple(r["f"])) for r in seen})
