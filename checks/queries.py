@@ -363,7 +363,10 @@ def _with_totals(spark: SparkSession, sf_dir: str) -> tuple[Backfill, Warehouse]
     """First deliveries, totals of them, then repeats (some of another type), and the totals brought up to date."""
     b = _backfill(spark, sf_dir)
     warehouse, checkpoint = Warehouse(spark, work_dir(spark, "tables")), work_dir(spark, "checkpoint")
-    changes, repeat = b.changes(), F.col("source") == "retry"
+    # Worked out once for both deliveries: each pass reads all JSON of the topic.
+    changes, path, repeat = b.changes(), work_dir(spark, "changes"), F.col("source") == "retry"
+    changes.write.parquet(path)
+    changes = spark.read.schema(changes.schema).parquet(path)
     for batch, part in enumerate((~repeat, repeat)):
         warehouse.events_table.write(changes.where(part), batch)
         start_totals(warehouse, checkpoint, {"availableNow": True}).awaitTermination()
