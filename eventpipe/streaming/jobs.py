@@ -130,7 +130,8 @@ def start_totals(warehouse: Warehouse, checkpoint: str, trigger: dict | None = N
     """Row changes, as the row query writes them, to totals by hour and type."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        warehouse.totals_table.write(summed_totals(batch).coalesce(1), batch_id, run_of(batch))
+        # One small file. A plain coalesce would have one task hold the hash tables of all partitions of the sum.
+        warehouse.totals_table.write(summed_totals(batch).repartition(1), batch_id, run_of(batch))
 
     totals = row_totals(warehouse.events_table.stream(), slots)
     return _start_with_state(totals, "update", write, checkpoint, trigger)

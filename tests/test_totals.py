@@ -180,6 +180,22 @@ def test_bundles_split_one_at_a_time():
             assert after == before or before == n - (1 << n.bit_length() - 1)
 
 
+def test_no_task_holds_the_sums_of_all_partitions(warehouse, tmp_path, monkeypatch):
+    plans = []
+    write = warehouse.totals_table.write
+
+    def seen(rows, *where):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        write(rows, *where)
+
+    monkeypatch.setattr(warehouse.totals_table, "write", seen)
+    put(warehouse, 0, ("a", "DATA", 1, None, 1), ("b", "DATA", 1, None, 2))
+    update(warehouse, tmp_path)
+    check(warehouse, 0)
+    assert plans and all("Coalesce" not in plan for plan in plans)
+    assert len(list((tmp_path / "w/row_totals/log").glob("*/*/*.parquet"))) == len(plans)
+
+
 def test_closed_counts_and_their_sum_take_one_pass(spark, topic):
     records = topic(*[f'{{"eventType": "{kind}", "eventTime": "2024-01-01T00:{minute:02d}:00Z"}}' for minute in range(20) for kind in ("image", "data")])
     counted = sum_image_counts(Backfill(records, None).closed_counts())
