@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventpipe.llm.common import bound_batches, trim_memory
 
-CACHE_WORDS = 250_000
-CACHE_CHUNKS = 150_000
+CACHE_WORDS = 450_000
+CACHE_CHUNKS = 300_000
 CACHE_CHARS = 8_000_000
 LONG_BYTES = 64
 QUERY_WORDS = 25_000

@@ -147,3 +147,16 @@ def test_counts_of_a_very_long_text(spark):
     [row] = count_tokens(spark.createDataFrame([(1, text)], KIND)).collect()
     library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     assert (row.n_bytes, row.n_tokens) == (len(text.encode()), len(library.encode(text, add_special_tokens=False).ids))
+
+
+def test_a_worker_keeps_the_words_of_a_large_vocabulary(monkeypatch):
+    own, learned = Coder(P.path("byte_bpe_50k.tiktoken"), P.PATTERN), []
+    monkeypatch.setattr(own, "_merged", lambda words, count: learned.append(count) or [b"\0\0\0\0"] * count)
+    texts = [" ".join("x" + "".join(chr(97 + n // 26**k % 26) for k in range(4)) + "qz" for n in range(start, start + 40_000)) for start in range(0, 280_000, 40_000)]
+    for text in texts:
+        own.encode([text])
+    before = sum(learned)
+    assert before > 200_000
+    for text in texts:
+        own.encode([text])
+    assert sum(learned) == before
