@@ -1,4 +1,4 @@
-"""What several operators share: settled tables, salted joins, connected components."""
+"""What several operators share: settled tables, filters before joins, salted joins, connected components."""
 
 from __future__ import annotations
 
@@ -15,6 +15,8 @@ from eventpipe.session import work_dir
 BLANKS = " \t\n\x0b\x0c\r"
 # A key is heavy if it holds over a thousandth of all rows: there are at most a thousand such keys.
 HEAVY_KEYS = 1000
+# ``maybe_among`` broadcasts at most so many rows of 64 bits each.
+FILTER_WORDS = 1 << 18
 
 
 # What an Arrow batch may hold, so that very long texts come a few at a time.
@@ -81,6 +83,19 @@ def sha256_hex(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def maybe_among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` but most of those whose ``key`` is not in ``wanted``, so that an exact join after it moves few others.
+
+    Each wanted key sets a bit of a bitmap, which is broadcast in words; it has one size however many keys there
+    are, and with more keys than bits it lets more of the other rows pass. ``wanted`` should be settled.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(64 * FILTER_WORDS))
+    bit = F.expr("shiftleft(1L, cast(place % 64 AS int))")
+    words = wanted.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    met = (F.shiftright(place, 6) == F.col("filter.word")) & (F.getbit("filter.bits", place % 64) == 1)
+    return rows.join(F.broadcast(words).alias("filter"), met, "left_semi")
+
+
 def join_groups(
     rows: DataFrame,
     groups: DataFrame,

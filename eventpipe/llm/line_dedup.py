@@ -161,10 +161,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     lost = scratch.settle(
         lost.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("lost")), "lost"
     )
-    whole = docs.select(F.struct("*").alias("row"), lines_of(F.col("text")).alias("lines"))
+    whole = docs.select(F.struct("*").alias("row"))
     same = F.col("row.doc_id").eqNullSafe(lost["doc_id"]) & (F.xxhash64("row.text") == lost["text_hash"])
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "lost")
-    done = whole.join(lost, same, "left").select(
+    # Lines are cut after the join: rows that are dealt out by key hold the text once.
+    met = whole.join(lost, same, "left").select("row", "lost", lines_of(F.col("row.text")).alias("lines"))
+    done = met.select(
         "row",
         F.size("lines").cast("long").alias("n_lines"),
         F.when(F.col("lost").isNotNull(), F.size("lost")).otherwise(0).cast("long").alias("n_dropped"),

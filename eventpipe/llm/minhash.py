@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventpipe.llm.byte_bpe import slices
-from eventpipe.llm.common import Scratch, bound_batches, connected_components, join_groups, trim_memory
+from eventpipe.llm.common import Scratch, bound_batches, connected_components, join_groups, maybe_among, trim_memory
 
 SIMILARITY_PERCENT = 80
 SHINGLE_WORDS = 2
@@ -239,14 +239,17 @@ def near_duplicates(
         .where("entries > 1"),
         "buckets",
     )
+    # Few buckets hold two classes: the entries of the others are left where they are.
+    shared = maybe_among(entries, "bucket", full)
     members = scratch.settle(
-        join_groups(entries, full, ["bucket"], "entries", ["rep"]).select("bucket", "rep", "n", "centre"), "members"
+        join_groups(shared, full, ["bucket"], "entries", ["rep"]).select("bucket", "rep", "n", "centre"), "members"
     )
     stars = members.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     stars = scratch.settle(stars, "stars")
     ends = scratch.settle(members.select(F.col("rep").alias("doc_id")).distinct(), "ends")
-    # Sets are made again from the texts, of the classes that share a bucket only.
-    sets = scratch.settle(with_sets(docs.join(ends, "doc_id", "left_semi"), size), "sets")
+    # Sets are made again from the texts, of the classes that share a bucket only; other texts do not move.
+    texts = maybe_among(docs.select("doc_id", "text"), "doc_id", ends)
+    sets = scratch.settle(with_sets(texts.join(ends, "doc_id", "left_semi"), size), "sets")
 
     tried = scratch.settle(verified(stars, sets, percent, scratch, "stars"), "tried")
     linked = F.col("shared") * 100 >= F.col("total") * percent

@@ -70,3 +70,10 @@ def test_settled_keys_stay_out_of_new_runs_and_levels_merge(spark):
     runs.add(spark.createDataFrame([(2, 2, 1, 99)], kind))
     assert {(r.h1, r.last_doc) for r in runs.frequent().collect()} == {(1, 90), (2, 99)}
     runs.remove()
+
+
+def test_texts_are_cut_into_lines_above_the_join_that_moves_them(spark):
+    frame = dedup_lines(spark.createDataFrame([(i, f"{LONG}\nonly {i}") for i in range(6)], DOCS))
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    above, join, below = plan.partition("Join LeftOuter")
+    assert join and "split(" in above and "split(" not in below

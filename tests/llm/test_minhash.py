@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from eventpipe.llm import common, minhash
 from eventpipe.llm.common import Scratch, connected_components
 from eventpipe.llm.minhash import buckets, near_duplicates, shingle_set, word_hashes
 
@@ -159,3 +160,44 @@ def test_components_of_chains_rings_and_stars(spark):
     found = {r.node: r.component for r in connected_components(edges, Scratch(spark, "test-components")).collect()}
     expected = {i: 0 for i in range(41)} | {100 + i: 100 for i in range(15)} | {200 + i: 200 for i in range(30)} | {300: 200}
     assert found == expected
+
+
+def test_a_filter_keeps_all_wanted_rows_and_few_others(spark):
+    wanted = spark.range(0, 30_000, 10).selectExpr("id AS key").union(spark.createDataFrame([(None,)], "key bigint"))
+    rows = spark.range(30_000).selectExpr("id AS key", "id AS word", "-id AS place")
+    got = common.maybe_among(rows, "key", wanted)
+    assert got.columns == ["key", "word", "place"]
+    keys = {r.key for r in got.collect()}
+    assert keys.issuperset(range(0, 30_000, 10)) and len(keys) < 3_100
+    assert common.maybe_among(rows, "key", wanted.limit(0)).isEmpty()
+
+
+def test_few_texts_and_entries_are_dealt_out(spark, monkeypatch):
+    """Joins of whole tables are met by the rows that the filters let pass."""
+    moved = {}
+
+    def heard(name, function):
+        def call(frame, *rest):
+            if name not in moved:
+                moved[name] = frame.count(), frame._jdf.queryExecution().executedPlan().toString()
+            return function(frame, *rest)
+
+        return call
+
+    monkeypatch.setattr(minhash, "with_sets", heard("texts", minhash.with_sets))
+    monkeypatch.setattr(minhash, "join_groups", heard("entries", minhash.join_groups))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = [(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(100)]
+        rows += [(100 + i, rows[i][1] + " more") for i in range(4)]
+        near_duplicates(spark.createDataFrame(rows, KIND))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert moved["texts"][0] == 8 and moved["entries"][0] < 4 * minhash.BANDS * 2 + 100
+    assert "BroadcastHashJoin" in moved["texts"][1].partition("SortMergeJoin")[2]
+
+
+def test_more_keys_than_the_filter_has_bits(spark, monkeypatch):
+    monkeypatch.setattr(common, "FILTER_WORDS", 1)
+    rows = variants(3)
+    assert run(spark, rows) == brute_force(rows)
