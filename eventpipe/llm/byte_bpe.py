@@ -13,13 +13,16 @@ their least pair in a step, which comes to the same, as no merge can make a pair
 of a lesser rank than its own; and the query stops after so many steps that it
 holds ``HELD_ROWS``, and goes on from where it stood. A word may have any length.
 
-Nothing is shuffled. A worker forgets its words when it holds over ``CACHE_WORDS``.
+Nothing is shuffled. A worker that holds over ``CACHE_WORDS`` keeps those it met again. Beside them it holds one slice of
+texts and one block of words or ids in DuckDB at a time, and between partitions no DuckDB.
 """
 
 from __future__ import annotations
 
 import base64
+import gc
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,14 +32,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventpipe.llm.common import bound_batches, trim_memory
 
-CACHE_WORDS = 450_000
-CACHE_CHUNKS = 300_000
+CACHE_WORDS = 300_000
+CACHE_CHUNKS = 100_000
 CACHE_CHARS = 8_000_000
 LONG_BYTES = 64
-QUERY_WORDS = 25_000
+QUERY_WORDS = 16_000
 # Bytes of long words in a query (one word may have more), and rows that all steps of it may hold.
 QUERY_BYTES, HELD_ROWS = 100_000, 1_000_000
 SLICE_CHARS = 2_000_000
+# Bytes of texts that are encoded together, and ids that are decoded together (one text may have more).
+ENCODE_CHARS, DECODE_IDS = 1_000_000, 150_000
 MEMORY_LIMIT = "128MB"
 # Below this all versions of Unicode that libraries follow agree on letters, numbers and spaces.
 RARE_FROM = "\u0500"
@@ -133,7 +138,6 @@ class Coder:
     """Encodes and decodes within one Python worker."""
 
     def __init__(self, ranks_path: str, pattern: str):
-        import duckdb
         import regex
 
         self.pattern = regex.compile(pattern)
@@ -141,30 +145,46 @@ class Coder:
         self.stand_ins: dict[str, str] = {}
         self.ranks = read_ranks(ranks_path)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.db = duckdb.connect()
-        self.db.execute("SET threads = 1")
-        self.db.execute(f"SET memory_limit = '{MEMORY_LIMIT}'")
-        self.db.execute("SET temp_directory = ''")
-        pairs = [
-            ((left << 20) | right, rank)
-            for token, rank in self.ranks.items()
-            for cut in range(1, len(token))
-            if (left := self.ranks.get(token[:cut])) is not None
-            and (right := self.ranks.get(token[cut:])) is not None
-        ]
-        self._table("merges", {"pair": pa.array([p for p, _ in pairs], pa.int64()), "merged": pa.array([m for _, m in pairs], pa.int32())})
-        self._table("vocabulary", {
-            "id": pa.array(list(self.ranks.values()), pa.int32()),
-            "piece": pa.array([token.decode("latin-1") for token in self.ranks], pa.string()),
-        })
+        pairs = array("q")
+        for token, rank in self.ranks.items():
+            for cut in range(1, len(token)):
+                if (left := self.ranks.get(token[:cut])) is not None and (right := self.ranks.get(token[cut:])) is not None:
+                    pairs.extend(((left << 20) | right, rank))
+        pair, merged = np.frombuffer(pairs, np.int64).reshape(-1, 2).T
+        self.tables = {
+            "merges": pa.table({"pair": pa.array(pair), "merged": pa.array(merged, pa.int32())}),
+            "vocabulary": pa.table({
+                "id": pa.array(list(self.ranks.values()), pa.int32()),
+                "piece": pa.array([token.decode("latin-1") for token in self.ranks], pa.string()),
+            }),
+        }
+        self._db = None
         self.words: dict[str, bytes] = {}  # pre-token -> ids
+        self.again: set[str] = set()  # pre-tokens met in several slices
         self.chunks: dict[str, bytes] = {}  # chunk after a space -> ids
         self.chars = 0  # of all chunks held
 
-    def _table(self, name: str, columns: dict) -> None:
-        self.db.register("given", pa.table(columns))
-        self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
-        self.db.unregister("given")
+    @property
+    def db(self):
+        """The connection to the tables, opened when it is needed."""
+        if self._db is None:
+            import duckdb
+
+            self._db = duckdb.connect()
+            self._db.execute("SET threads = 1")
+            self._db.execute(f"SET memory_limit = '{MEMORY_LIMIT}'")
+            self._db.execute("SET temp_directory = ''")
+            for name, table in self.tables.items():
+                self._db.register("given", table)
+                self._db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
+                self._db.unregister("given")
+        return self._db
+
+    def rest(self) -> None:
+        """Close the connection: what DuckDB holds is given back, the words stay."""
+        if self._db is not None:
+            self._db.close()
+            self._db = None
 
     def find(self, text: str) -> list[str]:
         """Pre-tokens of a text, its characters classed as the tiktoken library does.
@@ -215,6 +235,12 @@ class Coder:
                 block.append(item)
                 held += len(item[1])
 
+    def _forget(self) -> None:
+        """Leave out the words that were not met again, or all if those are most."""
+        kept = {word: ids for word in self.again if (ids := self.words.get(word)) is not None}
+        self.words = kept if len(kept) <= CACHE_WORDS // 2 else {}
+        self.again = set()
+
     def _positions(self, tokens: list[bytes]) -> pa.Table:
         """Rows of the state at its start: a row for each byte."""
         sizes = np.array([len(t) for t in tokens], dtype=np.int64)
@@ -256,7 +282,16 @@ class Coder:
         return _packed(w[order], ids[order], count)
 
     def decode(self, packed: list[bytes]) -> list[bytes]:
-        """Bytes of each id sequence, by one ordered aggregation."""
+        """Bytes of each id sequence, by ordered aggregations over ``DECODE_IDS`` ids, or over one sequence."""
+        out, start, held = [], 0, 0
+        for i, ids in enumerate(packed):
+            if i > start and held + len(ids) // 4 > DECODE_IDS:
+                out += self._decoded(packed[start:i])
+                start, held = i, 0
+            held += len(ids) // 4
+        return out + self._decoded(packed[start:])
+
+    def _decoded(self, packed: list[bytes]) -> list[bytes]:
         sizes = np.array([len(ids) // 4 for ids in packed], dtype=np.int64)
         ids = np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int32)
         w = np.repeat(np.arange(len(packed), dtype=np.int32), sizes)
@@ -268,14 +303,17 @@ class Coder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
         if len(self.words) > CACHE_WORDS:
-            self.words.clear()
+            self._forget()
         if len(self.chunks) > CACHE_CHUNKS or self.chars > CACHE_CHARS:
             self.chunks.clear()
             self.chars = 0
         cut = [space_chunks(text) for text in texts]
         opening = {c[0]: self.find(c[0]) for c in cut}
         found = {c: self.find(" " + c) for c in set().union(*(c[1:] for c in cut)).difference(self.chunks)}
-        self._learn(set().union(*found.values(), *opening.values()).difference(self.words))
+        words = set().union(*found.values(), *opening.values())
+        new = words.difference(self.words)
+        self.again |= words.difference(new)
+        self._learn(new)
         of = self.words.__getitem__
         for chunk, words in found.items():
             self.chunks[chunk] = of(words[0]) if len(words) == 1 else b"".join(map(of, words))
@@ -316,15 +354,16 @@ def coder(ranks_path: str, pattern: str) -> Coder:
     return _coders[key]
 
 
-def slices(texts: pa.Array | list[str | None]) -> Iterator[tuple[int, list[str]]]:
-    """(offset, texts) of at most ``SLICE_CHARS`` bytes, or of one text; null texts are empty.
+def slices(texts: pa.Array | list[str | None], most: int | None = None) -> Iterator[tuple[int, list[str]]]:
+    """(offset, texts) of at most ``most`` (else ``SLICE_CHARS``) bytes, or of one text; null texts are empty.
 
     Only one slice at a time is held as Python strings.
     """
+    most = most or SLICE_CHARS
     column = texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(texts, pa.string())
     start, held = 0, 0
     for i, size in enumerate(pc.binary_length(column).to_pylist()):
-        if i > start and held + (size or 0) > SLICE_CHARS:
+        if i > start and held + (size or 0) > most:
             yield start, [t or "" for t in column.slice(start, i - start).to_pylist()]
             start, held = i, 0
         held += size or 0
@@ -332,6 +371,25 @@ def slices(texts: pa.Array | list[str | None]) -> Iterator[tuple[int, list[str]]
         yield start, [t or "" for t in column.slice(start).to_pylist()]
 
 
+def encoded(batches: Iterator[pa.RecordBatch], ranks_path: str, pattern: str) -> Iterator[pa.RecordBatch]:
+    """Batches (doc_id, ids, decoded) of a partition of (doc_id, text)."""
+    own = coder(ranks_path, pattern)
+    gc.disable()  # collections would go through all words; there are no cycles
+    try:
+        for batch in batches:
+            for start, texts in slices(batch.column(1), ENCODE_CHARS):
+                ids = own.encode(texts)
+                decoded = own.decode(ids)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, len(texts)), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())],
+                    names=["doc_id", "ids", "decoded"],
+                )
+    finally:
+        gc.enable()
+        own.rest()
+        trim_memory()
+
+
 def encode_decode(docs: DataFrame, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
     """(doc_id, ids, decoded) of the whole text of every row of ``docs`` (doc_id, text, more).
 
@@ -345,22 +403,9 @@ def encode_decode(docs: DataFrame, ranks_path: str | None = None, pattern: str |
 
     ranks_path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     pattern = pattern or public_tokenizers.PATTERN
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(ranks_path, pattern)
-        for batch in batches:
-            for start, texts in slices(batch.column(1)):
-                ids = own.encode(texts)
-                decoded = own.decode(ids)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, len(texts)), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())],
-                    names=["doc_id", "ids", "decoded"],
-                )
-        trim_memory()
-
     bound_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary, decoded binary")
+    return docs.select("doc_id", "text").mapInArrow(lambda batches: encoded(batches, ranks_path, pattern), f"doc_id {kind}, ids binary, decoded binary")
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

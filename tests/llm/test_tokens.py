@@ -160,3 +160,40 @@ def test_a_worker_keeps_the_words_of_a_large_vocabulary(monkeypatch):
     for text in texts:
         own.encode([text])
     assert sum(learned) == before
+
+
+def test_words_met_again_outlive_a_full_cache(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CACHE_WORDS", 100)
+    own, learned = Coder(P.path("byte_bpe_50k.tiktoken"), P.PATTERN), []
+    merged = own._merged
+    monkeypatch.setattr(own, "_merged", lambda words, count: learned.append(count) or merged(words, count))
+    word = lambda n: "xq" + "".join(chr(97 + n // 26**k % 26) for k in range(3)) + "zj"
+    common = " ".join(word(n) for n in range(20))
+    first = own.encode([common])
+    for start in range(100, 1000, 90):
+        own.chunks.clear()
+        own.encode([common + " " + " ".join(word(n) for n in range(start, start + 90))])
+    before = sum(learned)
+    own.chunks.clear()
+    assert own.encode([common]) == first
+    assert sum(learned) == before and len(own.words) <= 100 + 20 + 90
+
+
+def test_a_worker_holds_a_slice_and_no_database_between_partitions(spark, monkeypatch):
+    import pyarrow as pa
+
+    own = Coder(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    sizes, blocks = [], []
+    encode, decoded = own.encode, own._decoded
+    monkeypatch.setattr(own, "encode", lambda texts: sizes.append(sum(map(len, texts))) or encode(texts))
+    monkeypatch.setattr(own, "_decoded", lambda packed: blocks.append(sum(map(len, packed)) // 4) or decoded(packed))
+    monkeypatch.setattr(byte_bpe, "coder", lambda *given: own)
+    monkeypatch.setattr(byte_bpe, "DECODE_IDS", 2000)
+    texts = ["some words of a text " * 200] * 1000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    out = [b.to_pydict() for b in byte_bpe.encoded(iter([batch]), "", "")]
+    assert [t for b in out for t in b["decoded"]] == [t.encode() for t in texts]
+    assert [i for b in out for i in b["doc_id"]] == list(range(1000))
+    assert max(sizes) <= 1_000_000 and max(blocks) <= 2000
+    assert own._db is None
+    assert own.decode(own.encode(texts[:1])) == [texts[0].encode()]
